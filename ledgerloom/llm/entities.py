@@ -34,8 +34,8 @@ DIRECT = 48
 SAMPLE = 40_000
 #: Confidence from which two records are the same company.
 MATCH = 0.5
-#: Digits in which registration numbers of one company differ at most.
-TYPO_DIGITS = 2
+#: Digits in which registration numbers of one company differ at most: each changes two of their bits.
+TYPO_DIGITS = RADIUS // 2
 #: Log-odds that registration numbers add: equal, off by a typing error, one a part of the other, different.
 NUMBER_ODDS = {"equal": 6.0, "near": 4.0, "part": 3.0, "far": -3.0, "notpart": -2.0}
 
@@ -103,18 +103,20 @@ def _chunks(bits: Column, n: int) -> list[Column]:
     return [F.shiftrightunsigned(bits, i * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(n)]
 
 
-def close_pairs(df: DataFrame, exact: str, bits: str, keep: list[str], radius: int = RADIUS) -> DataFrame:
-    """All pairs of rows that agree in ``exact`` (not NULL or '') and whose ``bits`` differ in at most ``radius`` places.
+def close_pairs(df: DataFrame, views: list[tuple[Column, Column]], keep: list[str], radius: int = RADIUS) -> DataFrame:
+    """All pairs of rows that agree exactly in the first column of a view and whose bits in its second differ in at most ``radius`` places.
 
     Columns: a, b, both structs of ``keep`` (which holds the id ``unit`` first),
-    with a.unit < b.unit; each pair comes once. Groups of up to DIRECT rows are
-    compared directly. In larger groups the vectors are cut into
+    with a.unit < b.unit; each pair comes once per view. NULL and '' agree with
+    nothing. All views go through one join, as (view, value). Groups of up to
+    DIRECT rows are compared directly. In larger groups the vectors are cut into
     radius + KEYED chunks and joined on every combination of KEYED of them: at
     most ``radius`` chunks can differ, so close vectors agree in one combination
     at least, and nothing is lost. A pair counts at the first combination it
     agrees in.
     """
-    rows = df.where(F.coalesce(F.col(exact) != "", F.lit(False))).select(F.col(exact).alias("_exact"), F.col(bits).alias("_bits"), F.struct(*keep).alias("_row"))
+    seen = F.explode(F.array(*(F.struct(F.when(value != "", F.concat(F.lit(f"{k}:"), value)).alias("_exact"), bits.alias("_bits")) for k, (value, bits) in enumerate(views)))).alias("_v")
+    rows = df.select(seen, F.struct(*keep).alias("_row")).select("_v.*", "_row").where("_exact is not null")
     sizes = rows.groupBy("_exact").agg(F.count("*").alias("_n")).where("_n > 1")
     rows = rows.join(sizes, "_exact")
     n = radius + KEYED
@@ -138,11 +140,8 @@ def close_pairs(df: DataFrame, exact: str, bits: str, keep: list[str], radius: i
 def candidates(rows: DataFrame) -> DataFrame:
     """Pairs close in name with the same telephone or building, or of the same name with close registration numbers."""
     keep = ["unit", "company_key", "source_dataset_id", "line", "phone", "number", "road", "lot", "core_bits", "phone_bits", "number_bits"]
-    by_phone = close_pairs(rows, "phone", "core_bits", keep)
-    by_road = close_pairs(rows, "road", "core_bits", keep)
-    by_lot = close_pairs(rows, "lot", "core_bits", keep)
-    by_name = close_pairs(rows.where("number_bits != 0"), "core", "number_bits", keep, radius=2 * TYPO_DIGITS)
-    return by_phone.unionByName(by_road).unionByName(by_lot).unionByName(by_name)
+    name, full = F.col("core_bits"), F.when(F.col("number_bits") != 0, F.col("core"))
+    return close_pairs(rows, [(F.col("phone"), name), (F.col("road"), name), (F.col("lot"), name), (full, F.col("number_bits"))], keep)
 
 
 def _dice(x: str) -> Column:
