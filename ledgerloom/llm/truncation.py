@@ -92,7 +92,7 @@ def ending_counts(texts: DataFrame) -> DataFrame:
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TABLES * CELLS, np.int64)
+        total = np.zeros(TABLES * CELLS, np.int32)
         for batch in batches:
             tables = [Counter() for _ in range(TABLES)]
             for text in batch.column(0).to_pylist():
@@ -108,7 +108,7 @@ def ending_counts(texts: DataFrame) -> DataFrame:
                 for word, n in table.items():
                     total[k * CELLS + xxhash.xxh64_intdigest(word, _SEED.get(k, 0)) % CELLS] += n
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], names=["cell", "n"])
 
     return texts.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
 
@@ -117,7 +117,7 @@ class Endings:
     """How likely an ending is cut, from the corpus' counts."""
 
     def __init__(self, cells: np.ndarray, counts: np.ndarray):
-        table = np.zeros(TABLES * CELLS, np.int64)
+        table = np.zeros(TABLES * CELLS, np.int32)
         table[cells] = counts
         self.tables = table.reshape(TABLES, CELLS)
         sums = self.tables.sum(axis=1)
