@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .spread import spread
 
 #: Cells of each count table; their number doesn't grow with the corpus (10 x 8 MB as they are counted).
@@ -42,6 +43,8 @@ LONGEST_PIECE = 16
 SLACK = {"chars": 2, "bytes": 4}
 #: A limit holds at least this many texts and gains this much log-likelihood per source.
 LEAST_AT_LIMIT, LEAST_GAIN = 5, 12.0
+#: Sources with a limit up to which their limits are broadcast (some 50 bytes each).
+MOST_BROADCAST = 20_000
 #: Log-odds of a text of a source without a limit, of one that stays below its source's limit, and bounds of what one kind of evidence may say.
 PRIOR, PRIOR_BELOW_LIMIT, BOUND = -0.7, -2.5, 5.0
 
@@ -266,8 +269,10 @@ def truncated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     source = spread(docs.select(id_col, source_col, text_col))
     counts = ending_counts(source.select(text_col)).toArrow()
     endings = sc.broadcast(Endings(counts.column("cell").to_numpy(), counts.column("n").to_numpy()))
-    limits = field_limits(source, source_col).withColumnRenamed("source", "_source")
-    rows = source.join(F.broadcast(limits), F.col(source_col).eqNullSafe(F.col("_source")), "left").drop("_source")
+    limits = settled(field_limits(source, source_col).withColumnRenamed("source", "_source"))
+    # One row per source with a limit: usually few, but only broadcast if they are.
+    limits = F.broadcast(limits) if limits.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else limits
+    rows = source.join(limits, F.col(source_col).eqNullSafe(F.col("_source")), "left").drop("_source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = endings.value
