@@ -215,7 +215,8 @@ def unified_records(records: DataFrame, changes: DataFrame | None = None) -> Dat
 
     A field whose values are mostly numbers becomes DOUBLE, mostly booleans
     BOOLEAN, others STRING (arrays and objects as JSON text); values that don't
-    fit become NULL in the typed column. The columns' names are collected: their
+    fit become NULL in the typed column. A name that is taken, case ignored, gets an
+    underscore. The columns' names are collected: their
     number is that of the fields, not of the records. Unreadable records are
     left out; source columns come first: rec_id, source_dataset_id, file_seq.
     """
@@ -225,5 +226,15 @@ def unified_records(records: DataFrame, changes: DataFrame | None = None) -> Dat
     named = fields.join(field_families(changes), ["source_dataset_id", "field"], "left").withColumn("name", F.coalesce("family", "field"))
     types = {r["name"]: r["kind"] for r in named.groupBy("name").agg(F.mode("kind").alias("kind")).orderBy("name").collect()}
     wide = named.groupBy(*keys).pivot("name", list(types)).agg(F.first("text", ignorenulls=True)) if types else named.select(*keys).distinct()
+    # By position, as names of JSON fields may differ in case only.
+    wide = wide.toDF(*keys, *(f"_f{i}" for i in range(len(types))))
     as_type = {"number": "double", "boolean": "boolean"}
-    return wide.select(*keys, *(F.col(f"`{n.replace('`', '``')}`").try_cast(as_type.get(k, "string")).alias(n) for n, k in types.items() if n not in keys))
+    taken = {k.lower() for k in keys}
+    out = []
+    for i, (name, kind) in enumerate(types.items()):
+        label = name
+        while label.lower() in taken:
+            label += "_"
+        taken.add(label.lower())
+        out.append(F.col(f"_f{i}").try_cast(as_type.get(kind, "string")).alias(label))
+    return wide.select(*keys, *out)
