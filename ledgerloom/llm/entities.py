@@ -141,7 +141,7 @@ def candidates(rows: DataFrame) -> DataFrame:
     """Pairs close in name with the same telephone or building, or of the same name with close registration numbers."""
     keep = ["unit", "company_key", "source_dataset_id", "line", "phone", "number", "road", "lot", "core_bits", "phone_bits", "number_bits"]
     name, full = F.col("core_bits"), F.when(F.col("number_bits") != 0, F.col("core"))
-    return close_pairs(rows, [(F.col("phone"), name), (F.col("road"), name), (F.col("lot"), name), (full, F.col("number_bits"))], keep)
+    return close_pairs(rows.where("core != ''"), [(F.col("phone"), name), (F.col("road"), name), (F.col("lot"), name), (full, F.col("number_bits"))], keep)
 
 
 def _dice(x: str) -> Column:
@@ -210,7 +210,7 @@ def same_companies(companies: DataFrame) -> DataFrame:
     Input: row_id, company_key, source_dataset_id, company_name_raw,
     company_name, road_address, lot_address, phone, biz_reg_no; other columns are
     ignored. Missing attributes (NULL, blank, fillers) say nothing; a record with
-    a name only matches nothing. Repeated rows are compared once and come out
+    a name only, or without one, matches nothing. Repeated rows are compared once and come out
     each. An empty table gives an empty result.
     """
     rows = settled(with_units(records(companies)))

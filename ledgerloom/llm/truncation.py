@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import filled
 from ..session import settled
 from .spread import spread
 
@@ -188,7 +189,7 @@ def lengths(docs: DataFrame, text_col: str = "text", source_col: str = "source")
     """(source, unit, length, n): the length histogram of every source, without what stands for a cut."""
     bare = F.regexp_replace(F.col(text_col), r"(?:\s*(?:…|\.{3}))\s*$", "")
     units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.char_length(bare).alias("length")), F.struct(F.lit("bytes").alias("unit"), F.octet_length(bare).alias("length"))))
-    rows = docs.where(F.length(F.trim(text_col)) > 0).select(F.col(source_col).alias("source"), units.alias("u"))
+    rows = docs.where(filled(text_col)).select(F.col(source_col).alias("source"), units.alias("u"))
     return rows.groupBy("source", "u.unit", "u.length").agg(F.count("*").alias("n"))
 
 
@@ -231,13 +232,15 @@ def _limits(rows: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("length")
         size, n = own["length"].to_numpy(), own["n"].to_numpy().astype(float)
         slack, total = SLACK[unit], n.sum()
+        sums = np.concatenate([[0.0], np.cumsum(n)])
+        within = lambda low, high: sums[np.searchsorted(size, high, "right")] - sums[np.searchsorted(size, low)]  # noqa: B023, E731
         best = None
         for limit in size[n >= LEAST_AT_LIMIT]:
-            near = (size >= limit - slack) & (size <= limit)
-            pile = n[near].sum()
-            around = n[(size >= limit * 0.8) & ~near & (size <= limit * 1.2)].sum() / max(1.0, 0.4 * limit - slack - 1) * (slack + 1)
+            pile = within(limit - slack, limit)
+            around = (within(0.8 * limit, 1.2 * limit) - pile) / max(1.0, 0.4 * limit - slack - 1) * (slack + 1)
             if pile < 5 * (around + 0.5):
                 continue
+            near = (size >= limit - slack) & (size <= limit)
             x = np.log(np.where(near, limit, size))
             mu, sd, likely = _fit(x, n, near, math.log(limit))
             gain = likely - _fit(x, n, np.zeros(len(x), bool), math.log(limit))[2]
@@ -300,7 +303,7 @@ def truncated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 def cut_rates(docs: DataFrame) -> DataFrame:
     """(source, texts, cut, cut_share): how often each source cuts, of its texts that aren't blank."""
-    all_texts = docs.where(F.length(F.trim("text")) > 0).groupBy("source").agg(F.count("*").alias("texts"))
+    all_texts = docs.where(filled("text")).groupBy("source").agg(F.count("*").alias("texts"))
     cut = truncated(docs).groupBy("source").agg(F.count("*").alias("cut"))
     a, b = all_texts.alias("a"), cut.alias("b")
     n = F.coalesce("b.cut", F.lit(0))
