@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 KINDS = ["string", "number", "boolean", "array", "object"]
 #: Hash functions of each of a field's two value sketches; the error of an estimated overlap is below 0.1.
 SKETCH = 32
-#: A rename's contents agree in at least this share of their values (estimated Jaccard similarity).
-SAME_CONTENT = 0.3
+#: A rename's contents agree in at least this share of their values (estimated Jaccard similarity), and in this one
+#: where there are hardly any different values, so that fields agree by chance. Records come and go between files, and
+#: are compared as they stand, so that the share is well below 1; different contents share next to nothing.
+SAME_CONTENT, SAME_CONTENT_OF_FLAGS, FLAG_VALUES = 0.1, 0.4, 3
 #: Below this many different values, agreement counts only record by record.
 FEW_VALUES = 24
 ROUNDS = 60
@@ -150,7 +152,8 @@ def renames(old: dict, new: dict) -> dict[str, str]:
     score = flood(old, new)
     out: dict[str, str] = {}
     for a, b in sorted(((a, b) for a in gone for b in come), key=lambda p: (-score[p], p)):
-        if a not in out and b not in out.values() and _content(old[a], new[b]) >= SAME_CONTENT:
+        least = SAME_CONTENT if max(old[a].values, new[b].values) > FLAG_VALUES else SAME_CONTENT_OF_FLAGS
+        if a not in out and b not in out.values() and _content(old[a], new[b]) >= least:
             out[a] = b
     return out
 
