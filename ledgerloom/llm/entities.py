@@ -139,7 +139,10 @@ def close_pairs(df: DataFrame, views: list[tuple[Column, Column]], keep: list[st
 
 def candidates(rows: DataFrame) -> DataFrame:
     """Pairs close in name with the same telephone or building, or of the same name with close registration numbers."""
-    keep = ["unit", "company_key", "source_dataset_id", "line", "phone", "number", "road", "lot", "core_bits", "phone_bits", "number_bits"]
+    keep = ["unit", "key", "source", "line", "number", "road_hash", "lot_hash", "core_bits", "phone_bits", "number_bits"]
+    # Pairs only ask whether these are equal: eight bytes each instead of texts.
+    hashed = {"key": "company_key", "source": "source_dataset_id", "road_hash": "road", "lot_hash": "lot"}
+    rows = rows.withColumns({h: F.when(F.col(c).isNotNull(), F.xxhash64(c)) for h, c in hashed.items()})
     name, full = F.col("core_bits"), F.when(F.col("number_bits") != 0, F.col("core"))
     return close_pairs(rows.where("core != ''"), [(F.col("phone"), name), (F.col("road"), name), (F.col("lot"), name), (full, F.col("number_bits"))], keep)
 
@@ -152,9 +155,9 @@ def _dice(x: str) -> Column:
 
 def compared(pairs: DataFrame) -> DataFrame:
     """The features of each pair, and what the registration numbers say."""
-    phone = F.when((F.col("a.phone") != "") & (F.col("b.phone") != ""), _dice("phone_bits"))
+    phone = _dice("phone_bits")
     same = lambda f: F.when((F.col(f"a.{f}").isNotNull()) & (F.col(f"b.{f}").isNotNull()), (F.col(f"a.{f}") == F.col(f"b.{f}")).cast("double"))
-    place = F.greatest(same("road"), same("lot"))
+    place = F.greatest(same("road_hash"), same("lot_hash"))
     lines = (F.col("a.line") != "") & (F.col("b.line") != "") & (F.col("a.line") != F.col("b.line"))
     x, y = F.col("a.number"), F.col("b.number")
     full = (F.length(x) == 10) & (F.length(y) == 10)
@@ -167,7 +170,7 @@ def compared(pairs: DataFrame) -> DataFrame:
     )
     return pairs.select(
         F.col("a.unit").alias("unit_a"), F.col("b.unit").alias("unit_b"),
-        ((F.col("a.company_key") != F.col("b.company_key")) & (F.col("a.source_dataset_id") != F.col("b.source_dataset_id"))).alias("wanted"),
+        ((F.col("a.key") != F.col("b.key")) & (F.col("a.source") != F.col("b.source"))).alias("wanted"),
         number.alias("number"), F.lit(1.0).alias("bias"), F.coalesce(_dice("core_bits"), F.lit(0.0)).alias("name"), lines.cast("double").alias("line_differs"),
         F.pow(F.coalesce(phone, F.lit(0.0)), F.lit(STEEP)).alias("phone"), phone.isNull().cast("double").alias("phone_missing"),
         F.coalesce(place, F.lit(0.0)).alias("place"), place.isNull().cast("double").alias("place_missing"),
