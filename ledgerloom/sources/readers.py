@@ -33,8 +33,10 @@ def latest_snapshot(spark: SparkSession, raw_dir: str, source_id: str) -> str |
 
 
 def snapshot_file(spark: SparkSession, folder: str, prefer_json: bool = False) -> str | None:
-    """The file to read of a snapshot: the last CSV or spreadsheet by name; JSON first if preferred."""
+    """The file to read of a snapshot: the last CSV or spreadsheet by name, JSON first if preferred; all parts of a landed table."""
     files = _listed(spark, folder)
+    if any(f.rsplit("/", 1)[-1].startswith("part-") for f in files):
+        return f"{folder.rstrip('/')}/part-*.csv"
     tables = [f for f in files if f.lower().endswith((".csv", ".xlsx", ".xls"))]
     json_files = [f for f in files if f.lower().endswith(".json")]
     pick = (json_files or tables) if prefer_json else (tables or json_files)
@@ -42,41 +44,40 @@ def snapshot_file(spark: SparkSession, folder: str, prefer_json: bool = False) -
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with a header, all strings, missing values ''; UTF-8, or else the Korean code page.
+    """A CSV with a header (or several alike, by a pattern), all strings, missing values ''; UTF-8, or else the Korean code page.
 
-    The encoding is told per file from its bytes, in Spark. Korean files are
-    decoded by a table function in parallel by file; undecodable bytes become
-    replacement characters. A file without a header gives no columns.
+    The encoding is told from the bytes, in Spark. Korean files are decoded in
+    Arrow batches, one task per file; undecodable bytes become replacement
+    characters. A file without a header gives no columns.
     """
-    is_utf8 = spark.read.format("binaryFile").load(path).select(F.bool_and(F.is_valid_utf8(F.col("content").cast("string"))).alias("u")).first()["u"]
-    options = {"header": True, "inferSchema": False, "multiLine": True, "escape": '"'}
+    files = spark.read.format("binaryFile").load(path)
+    is_utf8 = files.select(F.bool_and(F.is_valid_utf8(F.col("content").cast("string"))).alias("u")).first()["u"]
     if is_utf8 is None or is_utf8:
-        df = spark.read.options(**options).csv(path)
-    else:
-        text = spark.read.format("binaryFile").load(path).select("content").mapInPandas(_decoded_lines, "line string")
-        df = spark.read.options(header=True, inferSchema=False, escape='"').csv(_as_lines(text))
-    df = df.toDF(*(c.lstrip("﻿") for c in df.columns))
-    return df.na.fill("")
+        df = spark.read.options(header=True, inferSchema=False, multiLine=True, escape='"').csv(path)
+        return df.toDF(*(c.lstrip("\ufeff") for c in df.columns)).na.fill("")
+    cells = files.select("content").mapInPandas(_decoded_rows, "is_header boolean, cells array<string>")
+    head = cells.where("is_header").first()
+    names = [n or f"_c{i}" for i, n in enumerate(head["cells"])] if head else []
+    return cells.where("not is_header").select(*(F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))
 
 
-def _decoded_lines(batches):
+def _decoded_rows(batches):
     import csv
     import io
 
     import pandas as pd
 
     for pdf in batches:
-        lines = []
         for content in pdf["content"]:
-            for row in csv.reader(io.StringIO(bytes(content).decode("cp949", "replace"))):
-                out = io.StringIO()
-                csv.writer(out, lineterminator="").writerow([x.replace("\r", " ").replace("\n", " ") for x in row])
-                lines.append(out.getvalue())
-        yield pd.DataFrame({"line": lines})
+            rows = [r for r in csv.reader(io.StringIO(bytes(content).decode("cp949", "replace"))) if r]
+            yield pd.DataFrame({"is_header": [k == 0 for k in range(len(rows))], "cells": rows})
 
 
-def _as_lines(text: DataFrame):
-    return text.rdd.map(lambda r: r["line"])
+def land(df: DataFrame, raw_dir: str, source_id: str, day: str) -> str:
+    """Write fetched rows as a source's snapshot of a day, in as many CSV files as the table has partitions; its folder."""
+    folder = f"{raw_dir.rstrip('/')}/{source_id}/{day}"
+    df.write.mode("overwrite").options(header=True, escape='"').csv(folder)
+    return folder
 
 
 def read_json_records(spark: SparkSession, path: str) -> DataFrame:

@@ -91,6 +91,13 @@ def test_snapshots_and_pipeline(spark, tmp_path):
         readers.read_parquets(spark, str(tmp_path / "raw"))
 
 
+def test_landing(spark, tmp_path):
+    df = spark.createDataFrame([(f"회사{i}", f'서울 강남구 "{i}", x') for i in range(40)], "`업체명` string, `주소` string").repartition(3)
+    readers.land(df, str(tmp_path), "15052274", "2025-01-01")
+    out = readers.read_source(spark, SPECS["15052274"], str(tmp_path), "2025-01-02")
+    assert rows(out.select("company_name", "road_address")) == rows(df)
+
+
 def test_cli(spark, tmp_path, capsys):
     from ledgerloom.cli import main
 
