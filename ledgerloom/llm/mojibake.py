@@ -303,20 +303,18 @@ def examine(text: str, model: Model, weights: np.ndarray | None = None) -> tuple
     garbled, lost, out, last = False, False, [], 0
     for i, j in touched:
         word = text[i:j]
-        fixed = restored(word, model)
+        fixed, missing = restored(word, model), False
         if fixed is None:
             parts = re.split(r"([\x21-\x7e]+)", word)
             mended = [p if p.isascii() else restored(p, model) for p in parts]
             if any(m is not None and not p.isascii() for p, m in zip(parts, mended, strict=True)):
-                garbled = True
-                lost |= any(m is None for m in mended)
+                missing = any(m is None for m in mended)
                 fixed = "".join(p if m is None else m for p, m in zip(parts, mended, strict=True))
-        else:
-            garbled = True
         if _BROKEN_CHARS.search(word) and (fixed is None or "\ufffd" in fixed):
             fixed = regrown(word, model)
-            garbled = True
-            lost |= fixed is None
+            missing = fixed is None
+        garbled |= fixed is not None or missing
+        lost |= missing
         out += [text[last:i], word if fixed is None else fixed]
         last = j
     if not garbled:
