@@ -7,6 +7,7 @@ log of attempts in `emails`, snippets in `documents`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from .operators import drift, picks, sampling
 from .operators import master as M
 from .operators.category import categorize
 from .plans import report, table_flow
-from .sources.spec import SPECS, normalize_source
+from .session import settled
+from .sources.spec import SPECS, empty_unified, normalize_source
 from .streaming import state as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -471,10 +473,16 @@ def unify_sources(spark, d):
 
 @query()
 def conform_raw(spark, d):
-    """The first registry file format in the unified schema, by header rules: every readable record of 15057023."""
-    raw = table(spark, d, "raw_records").where("source_dataset_id = '15057023'")
-    wide = drift.unified_records(raw).withColumn("row_ordinal", F.col("rec_id")).drop("rec_id", "source_dataset_id", "file_seq")
-    return normalize_source(wide, SPECS["15057023"], "2025-01-01")
+    """Every registry's files in the unified schema, by its header rules: all readable records, one row per company_key of a registry.
+
+    A registry that has no ``SourceSpec`` has no rules to be read by, and gives no rows.
+    """
+    raw = table(spark, d, "raw_records")
+    changes, parts = settled(drift.schema_changes(raw)), []
+    for (source,) in raw.where(F.col("source_dataset_id").isin(list(SPECS))).select("source_dataset_id").distinct().orderBy("source_dataset_id").collect():
+        wide = drift.unified_records(raw.where(F.col("source_dataset_id") == source), changes).withColumn("row_ordinal", F.col("rec_id"))
+        parts.append(normalize_source(wide.drop("rec_id", "source_dataset_id", "file_seq"), SPECS[source], "2025-01-01"))
+    return reduce(DataFrame.unionByName, parts, empty_unified(spark))
 
 
 @query()
