@@ -59,17 +59,24 @@ def _transport(name: str) -> Transport:
 
 
 class _Page(InputPartition):
-    def __init__(self, number: int):
-        self.number = number
+    """Page ``number``; ``onward``: and those after it up to an empty one. ``counted``: by the total it is the last."""
+
+    def __init__(self, number: int, onward: bool = False, counted: bool = False):
+        self.number, self.onward, self.counted = number, onward, counted
 
 
 class PagedRest(DataSource):
-    """Format 'paged_rest': one row of JSON text per record, one partition per page.
+    """Format 'paged_rest': one row of JSON text per record, one partition per page if the total is known.
 
     Options: url, transport ('module:function'), page_size, page_param,
     size_param, params (JSON), retries, key. With no key the source is empty. The
-    first page tells the total; a page that fails after the retries ends its
-    partition without failing the others, and is reported as a row with NULL record.
+    first page tells the total, and by its rows how many a page really holds; the
+    last page's partition reads on until an empty page, as later pages may hold fewer.
+    With no total (or 0), or if the first page fails, one partition reads page after
+    page until an empty one, or one that repeats the page before. A page that fails
+    after the retries is reported as a row with NULL record without failing the
+    others. Where no total is known, a second failure in a row ends the reading: if
+    the last row is NULL, the pages from it on are missing.
     """
 
     @classmethod
@@ -106,20 +113,34 @@ class _Pages(DataSourceReader):
         try:
             first, total = self._get(1)
         except Exception:  # noqa: BLE001
-            return [_Page(1)]
-        pages = max(1, -(-total // self.size)) if total is not None else 1
-        return [_Page(n) for n in range(1, pages + 1)]
+            return [_Page(1, onward=True)]
+        if not total:
+            return [_Page(1, onward=True)]
+        pages = max(1, -(-total // (len(first) or self.size)))
+        return [*(_Page(n) for n in range(1, pages)), _Page(pages, onward=True, counted=True)]
 
     def read(self, partition):
-        if partition.number == 0:
-            return
-        try:
-            items, _ = self._get(partition.number)
-        except Exception:  # noqa: BLE001
-            yield (partition.number, None)
-            return
-        for item in items:
-            yield (partition.number, json.dumps(item, ensure_ascii=False))
+        number, before, failed = partition.number, None, False
+        while number:
+            beyond = number > partition.number
+            try:
+                items, _ = self._get(number)
+            except Exception:  # noqa: BLE001
+                if beyond and (failed or partition.counted):
+                    return
+                yield (number, None)
+                failed = True
+            else:
+                if beyond and items == before:
+                    return
+                for item in items:
+                    yield (number, json.dumps(item, ensure_ascii=False))
+                if not items:
+                    return
+                before, failed = items, False
+            if not partition.onward:
+                return
+            number += 1
 
 
 def read_rest(spark: SparkSession, url: str, transport: str, **options: str) -> DataFrame:

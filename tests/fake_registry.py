@@ -14,3 +14,44 @@ def paged(url, params):
 
 def down(url, params):
     raise OSError("no network")
+
+
+def _slice(params, size=None):
+    size = size or params["perPage"]
+    return RECORDS[(params["page"] - 1) * size : params["page"] * size]
+
+
+def bare(url, params):
+    return json.dumps(_slice(params))
+
+
+def zero_total(url, params):
+    return json.dumps({"data": _slice(params), "totalCount": 0})
+
+
+def no_head(url, params):
+    return json.dumps({"Svc": [{"row": _slice(params)}]})
+
+
+def xml(url, params):
+    return "<r>" + "".join(f"<item><n>{r['n']}</n></item>" for r in _slice(params)) + "</r>"
+
+
+def few_a_page(url, params):
+    return json.dumps({"data": _slice(params, 4), "totalCount": len(RECORDS)})
+
+
+def uneven(url, params):
+    cuts = [0, 10, 13, 20, 25, 25]
+    n = min(params["page"], 5)
+    return json.dumps({"data": RECORDS[cuts[n - 1] : cuts[n]], "totalCount": len(RECORDS)})
+
+
+def unpaged(url, params):
+    return json.dumps(RECORDS)
+
+
+def first_broken(url, params):
+    if params["page"] == 1:
+        raise OSError("page 1 is broken")
+    return bare(url, params)

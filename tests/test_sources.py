@@ -131,6 +131,18 @@ def test_rest(spark):
     assert rows(rest.read_rest(spark, "http://x", "tests.fake_registry:down", retries="1")) == [(1, None)]
 
 
+@pytest.mark.parametrize("service", ["bare", "zero_total", "no_head", "xml", "few_a_page", "uneven", "unpaged"])
+def test_rest_reads_every_page(spark, service):
+    got = rest.read_rest(spark, "http://x", f"tests.fake_registry:{service}", page_size="10", retries="1").collect()
+    assert sorted(int(json.loads(r.record)["n"]) for r in got) == list(range(25))
+
+
+def test_rest_goes_on_after_a_broken_first_page(spark):
+    got = rest.read_rest(spark, "http://x", "tests.fake_registry:first_broken", page_size="10", retries="1").collect()
+    assert sorted(json.loads(r.record)["n"] for r in got if r.record) == list(range(10, 25))
+    assert [r.page for r in got if r.record is None] == [1]
+
+
 def test_response_shapes():
     assert rest.items_of('{"response": {"body": {"items": {"item": {"a": 1}}, "totalCount": "7"}}}') == ([{"a": 1}], 7)
     assert rest.items_of('{"Svc": [{"head": [{"list_total_count": 3}]}, {"row": [{"a": 1}]}]}') == ([{"a": 1}], 3)
