@@ -213,24 +213,36 @@ def field_families(changes: DataFrame) -> DataFrame:
     return moved.groupBy("source_dataset_id").applyInPandas(_families, "source_dataset_id string, field string, family string")
 
 
+def _fits() -> dict[str, Column]:
+    """Whether a value (kind, text) stays what it is in a column of this type."""
+    number = F.when(F.col("kind") == "number", ~F.col("text").rlike(r"^-?\d{16,}")).otherwise((F.col("kind") == "string") & F.col("text").rlike(r"^\s*[+-]?(0|[1-9]\d{0,14})(\.\d+)?\s*$"))
+    return {"number": number, "boolean": F.col("text").try_cast("boolean").isNotNull()}
+
+
 def unified_records(records: DataFrame, changes: DataFrame | None = None) -> DataFrame:
     """All readable records as one table: a renamed field under its first name, each in one type.
 
     A field whose values are mostly numbers becomes DOUBLE, mostly booleans
-    BOOLEAN, others STRING (arrays and objects as JSON text); values that don't
-    fit become NULL in the typed column. A name that is taken, case ignored, gets an
+    BOOLEAN, others STRING (arrays and objects as JSON text); one with any value
+    that this type wouldn't keep (other text, leading zeros, over 15 digits) is STRING
+    too. Blank text is NULL in a typed column. A name that is taken, case ignored, gets an
     underscore. The columns' names are collected: their
     number is that of the fields, not of the records. Unreadable records are
-    left out; source columns come first: rec_id, source_dataset_id, file_seq.
+    left out, a record without fields is a row of NULLs; source columns come first:
+    rec_id, source_dataset_id, file_seq.
     """
     changes = schema_changes(records) if changes is None else changes
     keys = ["rec_id", "source_dataset_id", "file_seq"]
     fields = json_fields(records.select(*keys, "payload"), keys)
     named = fields.join(field_families(changes), ["source_dataset_id", "field"], "left").withColumn("name", F.coalesce("family", "field"))
-    types = {r["name"]: r["kind"] for r in named.groupBy("name").agg(F.mode("kind").alias("kind")).orderBy("name").collect()}
+    lost = {k: F.count_if(F.col("kind").isNotNull() & (F.trim("text") != "") & ~fits).alias(f"not_{k}") for k, fits in _fits().items()}
+    found = named.groupBy("name").agg(F.mode("kind").alias("kind"), *lost.values()).orderBy("name").collect()
+    types = {r["name"]: "string" if r["kind"] in lost and r[f"not_{r['kind']}"] else r["kind"] for r in found}
     wide = named.groupBy(*keys).pivot("name", list(types)).agg(F.first("text", ignorenulls=True)) if types else named.select(*keys).distinct()
     # By position, as names of JSON fields may differ in case only.
     wide = wide.toDF(*keys, *(f"_f{i}" for i in range(len(types))))
+    empty = records.where(F.schema_of_variant(F.try_parse_json("payload")) == "OBJECT<>").select(*keys)
+    wide = wide.unionByName(empty, allowMissingColumns=True)
     as_type = {"number": "double", "boolean": "boolean"}
     taken = {k.lower() for k in keys}
     out = []

@@ -194,3 +194,10 @@ def test_drift_names_differing_in_case(spark):
     wide = drift.unified_records(df)
     assert len(set(c.lower() for c in wide.columns)) == len(wide.columns)
     assert rows(drift.schema_changes(df).select("change_kind", "field_name")) == [("added", "a.b"), ("removed", "rec_id")]
+
+
+def test_unified_records_keep_every_value(spark):
+    texts = ['{"n": 1, "z": 5, "b": true, "m": 2}', '{"n": 2, "z": 6, "b": false, "m": 3}', '{"n": "unknown", "z": "007", "b": "unclear", "m": ""}', "{}", "{broken", "[]"]
+    wide = drift.unified_records(payloads(spark, {1: texts}))
+    assert dict(wide.dtypes) == {"rec_id": "bigint", "source_dataset_id": "string", "file_seq": "int", "b": "string", "m": "double", "n": "string", "z": "string"}
+    assert rows(wide.select("rec_id", "n", "z", "b", "m")) == [(0, "1", "5", "true", 2.0), (1, "2", "6", "false", 3.0), (2, "unknown", "007", "unclear", None), (3, None, None, None, None)]
