@@ -155,17 +155,91 @@ def test_leaks(spark):
     docs += [(9000, None, 0), (9001, "", 0), (9002, " \n", 0), (9003, " ".join(passage(20)) * 300, 0)]
     docs.append(docs[0])
     df = spark.createDataFrame(docs, "doc_id bigint, text string, item_id int")
-    held = spark.createDataFrame([(i, " ".join(w), "ko") for i, w in items] + [(900, None, ""), (901, "", ""), (902, "하나", "")], "item_id bigint, text string, doc_id string")
+    held = spark.createDataFrame([(i, " ".join(w), "ko") for i, w in items] + [(900, None, ""), (901, "", ""), (902, "?", "")], "item_id bigint, text string, doc_id string")
     assert set(rows(leakage.leaks(df, held))) == want
     assert leakage.leaks(df, held.limit(0)).count() == 0 and leakage.leaks(df.limit(0), held).count() == 0
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    items = [(i, " ".join(passage(20))) for i in range(9)]
-    df = spark.createDataFrame([(i, t) for i, t in items], "doc_id bigint, text string")
-    held = df.withColumnRenamed("doc_id", "item_id")
-    monkeypatch.setattr(leakage, "BLOCK", 4)
-    assert rows(leakage.leaks(df, held)) == [(i, i) for i in range(9)]
+def brute_runs(item, text):
+    """All (first word, last word, start, end) by the definition of a run, over every way the words may stand."""
+    t = leakage.Text(text)
+    places = {k: [m for m in range(len(t.s)) if t.s.startswith(w, m)] for k, w in enumerate(item)}
+    out = set()
+
+    def balanced(marks):
+        return all(marks[:i].count("-") <= marks[:i].count("+") for i in range(len(marks) + 1))
+
+    def go(k0, p0, k, p, marks):
+        end = p + len(item[k])
+        own = "".join(item[k0 : k + 1])
+        if marks.count("-") <= leakage.budget(k - k0 + 1) and balanced(marks) and balanced(marks[::-1]) and levenshtein(own, t.s[p0:end]) <= leakage.CHANGED * len(own) and (k > k0 or t.is_word(p0, end)):
+            out.add((k0, k, p0, end))
+        skipped = 0
+        for j in range(k + 1, len(item)):
+            for q in places[j]:
+                if end <= q <= end + 2 * skipped + leakage.SLACK:
+                    more = marks + "-" * (0 if j == k + 1 and q == end else max(1, j - k - 1)) + "+"
+                    if more.count("-") <= leakage.budget(len(item)):
+                        go(k0, p0, j, q, more)
+            skipped += len(item[j])
+
+    for k in range(len(item)):
+        for p in places[k]:
+            go(k, p, k, p, "+")
+    return out
+
+
+def brute_covered(item, text):
+    runs, need = brute_runs(item, text), leakage.needed(len(item))
+    span = lambda r: r[1] - r[0] + 1
+    return any(span(r) >= need for r in runs) or any(span(r) + span(x) >= need for r in runs for x in runs if r[1] < x[0] and r[3] <= x[2])
+
+
+def test_runs_against_brute_force():
+    rng = random.Random(17)
+    vocabulary = [word(3) for _ in range(60)]
+    agreed = {True: 0, False: 0}
+    for _ in range(250):
+        n = rng.randint(1, 18)
+        item = rng.sample(vocabulary, n)
+        cut = sorted(rng.sample(range(n + 1), min(n + 1, 4))) if n > 3 else [0, n, n, n]
+        parts = [item[cut[0] : cut[1]], item[cut[2] : cut[3]]] if rng.random() < 0.7 else [item[cut[0] :]]
+        changed = [[w if rng.random() < 0.88 else rng.choice(["바뀜", "", w[:2] + "뀨"]) for w in p] for p in parts]
+        fill = lambda: " ".join(rng.choices(["사이", "다른말", "그리고"], k=rng.randint(1, 6)))  # noqa: B023, E731
+        text = f"{fill()} " + f" {fill()} ".join(" ".join(p) for p in changed) + f" {fill()}"
+        want = brute_covered(item, text)
+        assert (leakage.Items([(1, " ".join(item))]).found(text) == [1]) == want, (item, text)
+        agreed[want] += 1
+    assert min(agreed.values()) > 40
+
+
+def test_short_items(spark):
+    held = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "Solo!"), (3, "one two"), (4, "..."), (5, "a b c d e f")], "item_id int, text string")
+    texts = {1: "zz alpha BETA yy kk", 2: "zz beta alpha yy", 3: "he sang solo.", 4: "soloist", 5: "two more", 6: "alpha, then delta", 7: "xa bx c", 8: "a-b\nC"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for most in (leakage.MOST_BROADCAST, 0):
+        assert rows(leakage.leaks(df, held, most_broadcast=most)) == [(1, 1), (3, 2), (5, 3), (6, 1), (7, 5), (8, 5)]
+
+
+def test_clustered_changes():
+    item = passage(48)
+    two_together = [w if k not in (5, 6) else "바뀜" for k, w in enumerate(item[:24])]
+    at_the_ends = [w if k not in (1, 22) else "바뀜" for k, w in enumerate(item[:24])]
+    find = leakage.Items([(1, " ".join(item))]).found
+    assert find(" ".join(two_together)) == find(" ".join(at_the_ends)) == [1]
+    assert find("말 " + " ".join(item[:22])) == [] == find(" ".join(w if k % 3 else "바뀜" for k, w in enumerate(item[:24])))
+    # A second run of one word, and one with letters between it and the text's end.
+    assert find(" ".join(item[:23]) + " 사이 " + item[40] + " 끝") == [1] == find(item[0] + " 사이 " + " ".join(item[20:43]))
+
+
+def test_many_items_are_joined(spark):
+    items = [(i, passage(20)) for i in range(60)]
+    docs = [(i, " ".join(passage(5) + w[i % 9 : 20] + passage(5)), 0) for i, w in items] + [(100, None, 0), (101, "", 0), (102, " ".join(items[0][1] + items[1][1]), 0)]
+    df = spark.createDataFrame(docs + docs[:5], "doc_id bigint, text string, probes int")
+    held = spark.createDataFrame([(f"i{i}", " ".join(w)) for i, w in items] + [(None, "하나 둘"), ("x", None)], "item_id string, text string")
+    direct, joined = leakage.leaks(df, held), leakage.leaks(df, held, most_broadcast=0)
+    assert rows(joined) == rows(direct) and {(102, "i0"), (102, "i1"), (5, "i5")} <= set(rows(joined))
+    assert leakage.leaks(df.limit(0), held, most_broadcast=0).count() == 0
 
 
 # --- truncation ---
