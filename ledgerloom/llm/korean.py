@@ -1,8 +1,10 @@
 """Korean names, addresses and numbers in one comparable form, whatever script and notation they came in.
 
 Syllables are romanized letter by letter, so that Korean and English writings of
-one name meet. Vowels that are taken for each other (one stroke, one key or one
-sound apart) fall together, so that the usual typing errors vanish.
+one name meet. In names of companies, vowels that are taken for each other (one
+stroke, one key or one sound apart) fall together, so that the usual typing
+errors vanish before names are scored. The parts of addresses are kept as they
+are spelled: two streets may differ in one vowel.
 """
 
 from __future__ import annotations
@@ -53,7 +55,7 @@ _NOTE = re.compile(r"(?:\s*(?:\([^()]*(?:상호|변경|이전|폐업|휴업|본
 
 def plain(text: str | None) -> str:
     """One width, single blanks, no outer ones."""
-    return re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text or "")).strip()
+    return " ".join(unicodedata.normalize("NFKC", text or "").split())
 
 
 def romanized(text: str) -> str:
@@ -97,12 +99,17 @@ def company(name: str | None) -> tuple[str, str]:
     return core, ""
 
 
+#: Stands before a word that is a district only if other addresses have it.
+MAYBE = "?"
+
+
 class Address(NamedTuple):
-    """The parts that tell where a building stands; '' for what isn't given."""
+    """The parts that tell where a building stands, as they are spelled; '' for what isn't given."""
 
     province: str
-    district: str
-    street: str  # road with side road, or neighbourhood of a lot
+    district: str  # without its ending, unless only one syllable would be left
+    road: str  # road, or neighbourhood of a lot; Korean, or Latin in lower case
+    side: str  # number of a side road
     number: str  # building number, or lot number (s: mountain lot)
     area: str  # neighbourhood given with a road address
 
@@ -111,7 +118,12 @@ _POSTAL = re.compile(r"^\s*(?:[\[(]\s*\d{5}\s*[\])]|우?\s?\d{5}(?=\s))\s*")
 _ROAD = re.compile(r"(?:^|\s)([가-힣]+(?:로|길|대로))\s*(?:(\d+)\s*번?\s*길\s*)?(\d+)(?:\s*(?:-|의|–|—)\s*(\d+))?(?!\d)")
 _LOT = re.compile(r"([가-힣]+(?:동|읍|면|리|가))\s*(산)?\s*(\d+)\s*(?:번지)?\s*(?:(?:-|의)?\s*(\d+)\s*호?)?(?=[\s,(]|$)")
 _DISTRICT = re.compile(r"^[가-힣]+[시군구]$")
-_ENGLISH_ROAD = re.compile(r"(?i)^([a-z]+)-(?:ro|gil|daero)(?:\s+(\d+)(?:beon)?-gil)?$")
+_ENGLISH_ROAD = re.compile(r"^([a-z]+)-(ro|gil|daero)(?:\s+(\d+)(?:beon)?-gil)?$")
+
+
+_SPELLED, _AREA = re.compile(r"[가-힣]+"), re.compile(r"[가-힣]+(?:동|읍|면|리)")
+_NOTES, _IN_LATIN = re.compile(r"\(([^)]*)\)"), re.compile(r"(?i)[a-z]-(?:ro|gil|daero)\b")
+_LATIN_NUMBER, _LATIN_DISTRICT = re.compile(r"(\d+)(?:-(\d+))?"), re.compile(r"([a-z]+)-(si|gun|gu)")
 
 
 def _region(words: list[str]) -> tuple[str, str]:
@@ -119,55 +131,63 @@ def _region(words: list[str]) -> tuple[str, str]:
     for w in words:
         if not province and w in PROVINCE_OF:
             province = PROVINCE_OF[w]
-        elif not district and re.fullmatch(r"[가-힣]+", w):
-            district = sound(re.sub(r"[시군구]$", "", w) if len(w) > 2 else w)
+        elif not district and _SPELLED.fullmatch(w):
+            district = w[:-1] if len(w) > 2 and w[-1] in "시군구" else w
     return province, district
 
 
+def _number(first: str, second: str | None, before: str = "") -> str:
+    return f"{before}{int(first)}-{int(second)}" if second else f"{before}{int(first)}"
+
+
 def road_address(text: str | None) -> Address | None:
     """The parts of a road address in either script and any order, or None."""
     s = _POSTAL.sub("", plain(text))
-    notes = re.findall(r"\(([^)]*)\)", s)
-    area = next((sound(x.strip()) for n in notes for x in n.split(",") if re.fullmatch(r"[가-힣]+(?:동|읍|면|리)", x.strip())), "")
-    body = re.sub(r"\([^)]*\)", " ", s)
-    if re.search(r"(?i)[a-z]-(?:ro|gil|daero)\b", body):
+    area, body = "", s
+    if "(" in s:
+        area = next((x.strip() for n in _NOTES.findall(s) for x in n.split(",") if _AREA.fullmatch(x.strip())), "")
+        body = _NOTES.sub(" ", s)
+    if _IN_LATIN.search(body):
         return _english(body, area)
-    found = list(_ROAD.finditer(body))
-    if not found:
+    m = _ROAD.search(body)
+    if not m:
         return None
-    m = found[0]
     road, side, first, second = m.groups()
-    before, after = body[: m.start()].split(), body[m.end() :].split()
-    after = [w for w in after if w in PROVINCE_OF or _DISTRICT.match(w)]
-    province, district = _region(before + after)
-    number = f"{int(first)}" + (f"-{int(second)}" if second else "")
-    return Address(province, district, sound(road) + (f"|{int(side)}" if side else ""), number, area)
+    after = [w for w in body[m.end() :].split() if w in PROVINCE_OF or _DISTRICT.match(w)]
+    province, district = _region(body[: m.start()].split() + after)
+    if not district and not body[: m.start()].strip():
+        # The region may follow without its ending; whether the word is a district the table tells.
+        words = body[m.end() :].split()
+        district = MAYBE + words[-1] if words and words[-1] not in PROVINCE_OF and _SPELLED.fullmatch(words[-1]) else ""
+    return Address(province, district, road, str(int(side)) if side else "", _number(first, second), area)
 
 
 def _english(body: str, area: str) -> Address | None:
-    province = district = street = number = ""
-    for part in (p.strip() for p in body.split(",")):
-        low = part.lower()
+    province = district = road = side = number = ""
+    for part in body.lower().split(","):
+        part = part.strip()
         if m := _ENGLISH_ROAD.match(part):
-            street = sound(m.group(1) + "ro") + (f"|{int(m.group(2))}" if m.group(2) else "")
-        elif m := re.fullmatch(r"(\d+)(?:-(\d+))?", low):
-            number = f"{int(m.group(1))}" + (f"-{int(m.group(2))}" if m.group(2) else "")
-        elif low in PROVINCE_OF:
-            province = PROVINCE_OF[low]
-        elif m := re.fullmatch(r"([a-z]+)-(?:si|gun|gu)", low):
-            district = district or sound(m.group(1))
-    return Address(province, district, street, number, area) if street and number else None
+            road, side = m.group(1) + m.group(2), str(int(m.group(3))) if m.group(3) else ""
+        elif m := _LATIN_NUMBER.fullmatch(part):
+            number = _number(*m.groups())
+        elif part in PROVINCE_OF:
+            province = PROVINCE_OF[part]
+        elif not district and (m := _LATIN_DISTRICT.fullmatch(part)):
+            # Of a name of one syllable the ending is a part, as it is in Korean.
+            district = m.group(1) + (m.group(2) if len(re.findall("[aeiouwy]+", m.group(1))) == 1 else "")
+    return Address(province, district, road, side, number, area) if road and number else None
 
 
 def lot_address(text: str | None) -> Address | None:
     """The parts of a lot address, or None."""
-    s = re.sub(r"\([^)]*\)", " ", _POSTAL.sub("", plain(text)))
+    s = _POSTAL.sub("", plain(text))
+    s = _NOTES.sub(" ", s) if "(" in s else s
     m = _LOT.search(s)
     if not m:
         return None
     place, mountain, first, second = m.groups()
     province, district = _region(s[: m.start()].split())
-    return Address(province, district, sound(place), ("s" if mountain else "") + f"{int(first)}" + (f"-{int(second)}" if second else ""), "")
+    return Address(province, district, place, "", _number(first, second, "s" if mountain else ""), "")
 
 
 def phone(text: str | None) -> str:

@@ -1,12 +1,17 @@
 """Address records that denote the same building, however they are written.
 
-Every different address becomes a set of tokens (province, district,
-neighbourhood, street with number). Set-containment join: each address is
-indexed by its rarest token; fuller addresses probe the index with their tokens;
-a candidate counts if the weights of its tokens found in the fuller address
-reach CONTAINED of its own and no part that both give contradicts. An address
-then stands for the fullest address that contains it; if those contradict each
-other, it is left alone.
+1. Every filled address is parsed into province, district, road (or
+   neighbourhood of a lot), side road and number, as they are spelled.
+2. Spellings: a road in Latin script is the Korean one that is romanized so. A
+   road that differs in one syllable, by a vowel taken for another, from a road
+   of its district that is named ESTABLISHED times as often is a typing error.
+   Two roads that are both established stay two, and a name near both its own.
+3. Set-containment join for missing parts: each different address is indexed by
+   its rarest token; fuller addresses probe the index with each of their tokens;
+   a candidate counts if the tokens found in it hold CONTAINED of the address'
+   own token weight (weight: log of how rare a token is), and no part that both
+   give contradicts. An address then stands for the fullest address that
+   contains it, unless those contradict each other in province or district.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +31,14 @@ from .spread import spread
 
 #: Share of an address' token weight that the fuller address must hold.
 CONTAINED = 0.8
-PARTS = ["province", "district", "street", "number", "area"]
+#: How many times as often as a misspelling the road it stands for is named in its district.
+ESTABLISHED = 4
 FIELDS = {"road_address": korean.road_address, "lot_address": korean.lot_address}
+#: The parts that contradict each other where both addresses give them. A neighbourhood in brackets is only a note.
+TOKENS = ["province", "district", "street", "number"]
+PARSED = ["province", "district", "road", "side", "number", "area"]
+
+_READABLE = regex.compile(r"[\x00-\x7f가-힣]*")
 
 
 def corpus_model(df: DataFrame, fields: list[str], id_col: str = "row_id"):
@@ -37,15 +49,13 @@ def corpus_model(df: DataFrame, fields: list[str], id_col: str = "row_id"):
 
 def readable(text: str | None, model: Model) -> str:
     """The text, restored if it is garbled and can be restored."""
-    if not text:
-        return ""
-    if text.isascii() or all("가" <= c <= "힣" or c.isascii() for c in text):
-        return text
+    if not text or _READABLE.fullmatch(text):
+        return text or ""
     return examine(text, model)[1] or text
 
 
 def parsed(companies: DataFrame, model=None) -> DataFrame:
-    """One row per filled address: row_id, field, text, and its parts; unreadable addresses are left out."""
+    """One row per filled address that can be read: row_id, field and its parts as they are spelled."""
     model = corpus_model(companies, list(FIELDS)) if model is None else model
     each = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in FIELDS)))
     rows = companies.select("row_id", each.alias("x")).select("row_id", "x.*").where(filled("text"))
@@ -59,82 +69,142 @@ def parsed(companies: DataFrame, model=None) -> DataFrame:
                 if a is not None:
                     keep.append(k)
                     parts.append(a)
-            columns = [pa.array([p[i] for p in parts], pa.string()) for i in range(len(PARTS))]
-            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(keep, pa.int64())).columns, *columns], names=["row_id", "field", "text", *PARTS])
+            hit = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([hit.column(0), hit.column(1), *(pa.array([p[i] for p in parts], pa.string()) for i in range(len(PARSED)))], names=["row_id", "field", *PARSED])
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return spread(rows).mapInArrow(run, f"row_id {kind}, field string, text string, " + ", ".join(f"{p} string" for p in PARTS))
-
+    return spread(rows).mapInArrow(run, f"row_id {kind}, field string, " + ", ".join(f"{p} string" for p in PARSED))
 
-def _tokens() -> Column:
-    """The tokens of an address; street and number only tell something together."""
-    token = lambda tag, *parts: F.concat(F.lit(tag), F.concat_ws("#", *parts))
-    given = [F.when(F.col(p) != "", token(p[0], "field", p)) for p in ("province", "district", "area")]
-    return F.array_compact(F.array(token("s", "field", "street", "number"), *given))
 
+def _heard(names: DataFrame, name: str) -> DataFrame:
+    """Names with how they are romanized (``roman``), how they sound with like vowels made equal (``heard``), and whether they are in Latin script."""
 
-def fullest(addresses: DataFrame) -> DataFrame:
-    """For every different address (field and parts) the building it denotes: field, parts, building.
+    at, columns = names.columns.index(name), [*names.columns, "roman", "heard", "latin"]
 
-    Weights are log(addresses / addresses with the token), over all different
-    addresses. The join is on single tokens: the rarest one of the contained
-    address, any of the containing one.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            new = [pa.array([korean.romanized(t) for t in texts], pa.string()), pa.array([korean.sound(t) for t in texts], pa.string()), pa.array([t.isascii() for t in texts], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=columns)
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in names.schema)
+    return names.mapInArrow(run, f"{kinds}, roman string, heard string, latin boolean")
+
+
+def spelled(addresses: DataFrame) -> DataFrame:
+    """Addresses with district and road as their place usually spells them; see the module's second point."""
+    districts = settled(_heard(addresses.where("district != ''").groupBy("district").agg(F.count("*").alias("n")), "district"))
+    maybe = F.col("district").startswith(korean.MAYBE)
+    sure = districts.where("not latin").where(~maybe).select("roman", F.col("district").alias("_district"), "n")
+    of_latin = districts.where("latin").join(sure.groupBy("roman").agg(F.max_by("_district", F.struct("n", "_district")).alias("_district")), "roman")
+    of_maybe = districts.where(maybe).withColumn("_word", F.substring("district", 2, 1_000)).join(sure, F.col("_word") == F.col("_district"), "left").select("district", F.coalesce("_district", F.lit("")).alias("_district"))
+    to = of_latin.select("district", "_district").unionByName(of_maybe)
+    rows = addresses.join(to, "district", "left").withColumn("district", F.coalesce("_district", "district")).drop("_district")
+    roads = settled(_heard(rows.groupBy("field", "district", "road").agg(F.count("*").alias("n")), "road"))
+    # Where no district is given, the roads of all districts count.
+    everywhere = roads.where("district != ''").groupBy("field", "road", "roman", "heard", "latin").agg(F.sum("n").alias("n")).withColumn("district", F.lit(""))
+    known = roads.where("district != ''").unionByName(everywhere).where("not latin").select("field", "district", "heard", F.col("road").alias("_road"), F.col("roman").alias("_roman"), F.col("n").alias("_n"))
+    near = roads.join(known, ["field", "district", "heard"])
+    twin = F.max((F.col("road") == F.col("_road")).cast("int"))
+    same_letters = F.col("latin") & (F.col("road") == F.col("_roman"))
+    often = F.col("_n") >= ESTABLISHED * F.col("n")
+    one_off = F.col("latin") | (F.levenshtein("road", "_road") == 1) & (F.length("road") == F.length("_road"))
+    fits = (F.col("road") != F.col("_road")) & (same_letters | often & one_off)
+    # Spellings of one sound in one district are few; the two best tell whether one of them clearly is the road.
+    options = F.slice(F.sort_array(F.collect_list(F.when(fits, F.struct(same_letters.alias("s"), "_n", "_road"))), asc=False), 1, 2).alias("o")
+    to = near.groupBy("field", "district", "road").agg(options, twin.alias("_twin")).where("size(o) > 0 and (district != '' or _twin = 0)")
+    first, second = F.col("o")[0], F.get("o", F.lit(1))
+    clear = second.isNull() | (first["s"] != second["s"]) | (first["_n"] >= ESTABLISHED * second["_n"])
+    to = to.where(clear).select("field", "district", "road", first["_road"].alias("_road"))
+    # The road a misspelling stands for may itself be one of a road named still more often.
+    again = to.select("field", "district", F.col("road").alias("_road"), F.col("_road").alias("_last"))
+    to = to.join(again, ["field", "district", "_road"], "left").select("field", "district", "road", F.coalesce("_last", "_road").alias("_road"))
+    named = rows.join(to, ["field", "district", "road"], "left").withColumn("road", F.coalesce("_road", "road"))
+    return named.withColumn("street", F.concat_ws("|", "road", F.nullif("side", F.lit("")))).drop("_road", "road", "side")
+
+
+def _weighed(different: DataFrame) -> DataFrame:
+    """Different addresses with ``tokens``: struct(token, weight), and ``rarest``, the token an address is indexed by.
+
+    Every address gives its number and unequal numbers contradict, so number and
+    field are part of the key that index and probe meet by, besides the token.
     """
-    key = ["field", *PARTS]
-    different = settled(addresses.select(*key).distinct().withColumn("address", F.xxhash64(*key)).withColumn("tokens", _tokens()))
-    each = different.select("address", F.explode("tokens").alias("token"))
+    token = lambda p: F.when(F.col(p) != "", F.concat(F.lit(p[0]), F.lit("#"), F.col("field"), F.lit("#"), F.col(p)))
+    each = different.select("address", F.explode(F.array_compact(F.array(*map(token, TOKENS)))).alias("token"))
     often = each.groupBy("token").agg(F.count("*").alias("often"))
-    weighed = each.join(often, "token")
-    rarest = weighed.groupBy("address").agg(F.min_by("token", F.struct("often", "token")).alias("token"))
-    short = rarest.join(different, "address")
-    full = weighed.select(F.col("address").alias("full"), "token", "often")
-    # A probe by a token that is nobody's rarest finds nothing: most tokens of regions drop out before the join.
-    pairs = short.select("address", "token", F.size("tokens").alias("n")).join(full.select("full", "token"), "token")
-    detail = different.select(F.col("address").alias("full"), *(F.col(c).alias(f"f_{c}") for c in PARTS), F.col("tokens").alias("f_tokens"))
-    rows = pairs.select("address", "full").join(different, "address").join(detail, "full")
+    total = F.broadcast(different.agg(F.count("*").alias("total")))
+    weight = F.log(F.col("total") + 1) - F.log("often") + 0.01
+    weighed = each.join(often, "token").crossJoin(total).select("address", F.struct("token", weight.alias("weight")).alias("t"))
+    keys = F.max_by("t.token", F.when(~F.col("t.token").startswith("n#"), F.struct("t.weight", "t.token"))).alias("rarest")
+    packed = weighed.groupBy("address").agg(F.collect_list("t").alias("tokens"), keys)
+    return different.join(packed, "address")
+
+
+def fullest(addresses: DataFrame) -> DataFrame:
+    """For every different address (field and parts) the building it denotes: address, building."""
+    key = ["field", *TOKENS]
+    different = addresses.groupBy("address", *key).agg(F.count("*").alias("n"), F.max(F.length("area")).alias("noted"))
+    weighed = settled(_weighed(different))
+    meet = lambda token: F.xxhash64("field", "number", token)
+    tokens = F.transform("tokens", lambda t: t["token"])
+    short = weighed.select("address", *TOKENS, "tokens", meet("rarest").alias("_key"))
+    full = weighed.select(F.col("address").alias("f_address"), "n", "noted", *(F.col(p).alias(f"f_{p}") for p in TOKENS), tokens.alias("f_tokens"), "field", "number")
+    full = full.select("*", F.explode("f_tokens").alias("_token")).where("not startswith(_token, 'n#')").withColumn("_key", meet("_token")).drop("_token", "field", "number")
+    pairs = short.join(full, "_key")
     agree = F.lit(True)
-    for p in ("province", "district", "number", "street"):
+    for p in TOKENS:
         agree = agree & ((F.col(p) == "") | (F.col(f"f_{p}") == "") | (F.col(p) == F.col(f"f_{p}")))
-    held = F.size(F.array_intersect("tokens", "f_tokens")) >= CONTAINED * F.size("tokens")
-    fuller = rows.where(agree & held & (F.size("f_tokens") >= F.size("tokens")))
+    weight = lambda ts: F.aggregate(ts, F.lit(0.0), lambda acc, t: acc + t["weight"])
+    held = F.filter("tokens", lambda t: F.array_contains("f_tokens", t["token"]))
+    contained = (F.size("f_tokens") >= F.size("tokens")) & (weight(held) >= CONTAINED * weight(F.col("tokens")))
+    fuller = pairs.where(agree & contained)
+    several = lambda p: F.count_distinct(F.when(F.col(f"f_{p}") != "", F.col(f"f_{p}"))) > 1
     best = fuller.groupBy("address").agg(
-        F.max_by(F.struct("f_province", "f_district", "f_street", "f_number"), F.struct(F.size("f_tokens"), F.length("f_area"), "full")).alias("b"),
-        F.count_distinct(F.when(F.col("f_district") != "", F.col("f_district"))).alias("districts"),
+        F.max_by(F.struct(*(F.col(f"f_{p}").alias(p) for p in TOKENS)), F.struct(F.size("f_tokens"), "n", "noted", "f_address")).alias("b"),
+        (several("district") | several("province")).alias("alone"),
     )
-    alone = F.col("districts") > 1
-    where = F.concat_ws("#", "field", F.when(alone, F.col("district")).otherwise(F.col("b.f_district")), "b.f_street", "b.f_number", F.when(alone & (F.col("district") == ""), F.col("address").cast("string")).otherwise(F.lit("")))
-    return different.join(best, "address").select(*key, where.alias("building"))
+    b = lambda *parts: F.concat_ws("#", "field", *parts)
+    own = b(*TOKENS, F.when(F.col("district") == "", F.col("address").cast("string")).otherwise(F.lit("")))
+    building = F.when(F.col("alone"), own).otherwise(b(*(f"b.{p}" for p in TOKENS)))
+    return weighed.select("address", *key).join(best, "address").select("address", building.alias("building"))
 
 
 def buildings(companies: DataFrame, model=None) -> DataFrame:
-    """One row per readable address: row_id, field, building."""
-    addresses = settled(parsed(companies, model))
-    key = ["field", *PARTS]
-    return addresses.join(fullest(addresses), key).select("row_id", "field", "text", "building")
+    """(row_id, field, building) of each readable address: rows of one building are the same location.
+
+    This membership is as long as the table, whatever the size of a building.
+    Repeated rows come out again. NULL, blank and unreadable addresses have none.
+    """
+    addresses = settled(spelled(settled(parsed(companies, model))).withColumn("address", F.xxhash64("field", *TOKENS)))
+    return addresses.join(fullest(addresses), "address").select("row_id", "field", "building")
 
 
 def same_location(companies: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b) of rows at the same building, the smaller id first.
 
-    Input: row_id, road_address, lot_address; other columns are ignored. Both
-    rows fill road_address or both fill lot_address, and no field that both fill
-    has exactly the same text (such pairs are copies, not writings). NULL and
-    blank addresses match nothing. Pairs are made within one building; a
-    building's rows are joined on (building), which Spark may split if it is hot.
+    Input: row_id (unique), road_address, lot_address; other columns are ignored.
+    Both rows fill road_address or both fill lot_address, and no field that both
+    fill has exactly the same text (such pairs are copies, not writings). NULL
+    and blank addresses match nothing; repeated rows give one result. Pairs are made within one building only
+    and each comes out once: by its lot only where the roads' buildings differ.
+    Spark splits the join of a hot building (adaptive skew join).
     """
-    placed = settled(buildings(companies))
-    a, b = placed.alias("a"), placed.alias("b")
-    pairs = a.join(b, (F.col("a.building") == F.col("b.building")) & (F.col("a.row_id") < F.col("b.row_id")) & (F.col("a.text") != F.col("b.text")))
-    found = pairs.select(F.col("a.row_id").alias("row_id_a"), F.col("b.row_id").alias("row_id_b"), "a.field").groupBy("row_id_a", "row_id_b").agg(F.collect_set("field").alias("fields"))
-    # Pairs found in one field only may still have the same text in the other one.
-    texts = companies.select("row_id", *(F.when(filled(f), F.col(f)).alias(f) for f in FIELDS))
-    both = found.join(texts.select(F.col("row_id").alias("row_id_a"), *(F.col(f).alias(f"a_{f}") for f in FIELDS)), "row_id_a")
-    both = both.join(texts.select(F.col("row_id").alias("row_id_b"), *(F.col(f).alias(f"b_{f}") for f in FIELDS)), "row_id_b")
-    same = F.lit(False)
-    for f in FIELDS:
-        same = same | F.coalesce(F.col(f"a_{f}") == F.col(f"b_{f}"), F.lit(False))
-    return both.where(~same).select("row_id_a", "row_id_b")
+    at = lambda f, n: F.max(F.when(F.col("field") == f, F.xxhash64("building"))).alias(n)
+    places = buildings(companies).groupBy("row_id").agg(at("road_address", "road"), at("lot_address", "lot"))
+    texts = companies.select("row_id", *(F.when(filled(f), F.xxhash64(f)).alias(f"{f}_text") for f in FIELDS)).dropDuplicates(["row_id"])
+    rows = settled(places.join(texts, "row_id"))
+    keys = F.explode(F.array(F.struct(F.lit(True).alias("is_road"), F.col("road").alias("place")), F.struct(F.lit(False).alias("is_road"), F.col("lot").alias("place"))))
+    each = rows.select("*", keys.alias("k")).select("*", "k.*").where("place is not null")
+    a, b = each.alias("a"), each.alias("b")
+    equal = lambda c: F.coalesce(F.col(f"a.{c}") == F.col(f"b.{c}"), F.lit(False))
+    on = (F.col("a.place") == F.col("b.place")) & (F.col("a.is_road") == F.col("b.is_road")) & (F.col("a.row_id") < F.col("b.row_id"))
+    once = F.col("a.is_road") | ~equal("road")
+    return a.join(b, on & once & ~equal("road_address_text") & ~equal("lot_address_text")).select(F.col("a.row_id").alias("row_id_a"), F.col("b.row_id").alias("row_id_b"))
 
 
 def p6_found(spark, sf_dir: str) -> DataFrame:
     return same_location(spark.read.parquet(f"{sf_dir}/companies.parquet"))
+
+
+def p6_buildings(spark, sf_dir: str) -> DataFrame:
+    return buildings(spark.read.parquet(f"{sf_dir}/companies.parquet"))

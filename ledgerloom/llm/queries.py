@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": survivor.p4_found,
         "p5_found": entities.p5_found,
         "p6_found": locations.p6_found,
+        "p6_buildings": locations.p6_buildings,
         "p7_found": mojibake.p7_found,
         "p8_ids": encoding.p8_ids,
         "p9_found": leakage.p9_found,

@@ -30,13 +30,14 @@ def test_names():
 ])
 def test_road_addresses(text):
     a = korean.road_address(text)
-    assert (a.street, a.number, a.district) == ("ganaro|12", "3-4", "gangnam")
+    assert (korean.sound(a.road), a.side, a.number) == ("ganaro", "12", "3-4")
+    assert a.district in ("강남", "gangnam")
     assert a.province in ("서울특별시", "")
 
 
 def test_lot_addresses():
     texts = ["경기도 가나시 다라동 12번지 3호", "경기 가나시 다라동 12-3", "가나시 다라동12의 3", "경기도 가나시 다랴동 12번지3 마바빌딩"]
-    assert {(a.district, a.street, a.number) for a in map(korean.lot_address, texts)} == {("gana", "daradong", "12-3")}
+    assert {(a.district, korean.sound(a.road), a.number) for a in map(korean.lot_address, texts)} == {("가나", "daradong", "12-3")}
     assert korean.lot_address("경기도 가나시 다라동 산 12-3").number == "s12-3"
     assert korean.lot_address("") is korean.lot_address(None) is korean.road_address("없음") is None
 
@@ -68,6 +69,39 @@ def test_same_location(spark):
     assert locations.same_location(df.select("row_id", F.lit(None).cast("string").alias("road_address"), F.lit(None).cast("string").alias("lot_address"))).count() == 0
 
 
+def located(spark, *texts, field="road"):
+    data = [(i, f"k{i}", "s", "x", t if field == "road" else None, t if field == "lot" else None, None, None) for i, t in enumerate(texts)]
+    return set(rows(locations.same_location(companies(spark, *data))))
+
+
+def test_namesake_districts(spark):
+    got = located(spark, "서울특별시 중구 중앙로 1", "부산광역시 중구 중앙로 1, 2층", "서울 중구 중앙로 1 301호", "중구 중앙로 1", "중구 중앙로 1 (다라동)", "1, Jungang-ro, Jung-gu, Busan")
+    # Without a province the place is open: such rows are only like each other.
+    assert got == {(0, 2), (1, 5), (3, 4)}
+    assert located(spark, "서울 중구 가동 1", "부산 중구 가동 1-0", "부산 중구 가동 1번지", field="lot") == set()
+
+
+def test_near_streets(spark):
+    many = [f"경기도 가나시 {road} {n}" for road in ("대동로", "다동로") for n in (5, 6, 7, 8, 9)]
+    got = located(spark, *many, "경기 가나시 대동로 5, 1층", "경기 가나시 다동로 5, 1층", "경기 가나시 댜동로 6", "경기 가나시 냐동로 5")
+    assert got == {(0, 10), (5, 11)}, "two streets of one sound, each named often; a name near both is its own"
+    got = located(spark, *many[:5], "경기도 가나시 댜동로 6", "댸동로 7 경기 가나", "경기도 다라시 댜동로 6", "8, Daedong-ro, Gana-si, Gyeonggi-do", "5, Daetong-ro, Gana-si, Gyeonggi-do")
+    assert got == {(1, 5), (2, 6), (3, 8)}
+    assert located(spark, "경기도 가나시 대동로 5", "경기도 가나시 다동로 5") == set(), "nothing tells which of the two is right"
+
+
+def test_missing_parts(spark):
+    full = "충청남도 가나시 다라로 5 (마바동)"
+    got = located(spark, full, "가나시 다라로 5", "다라로 5", "충남 다라로 5", "가나시 다라로 5-1", "다라로 5 가나", "충남 사아시 다라로 5", "충남 사아시 자차로 5")
+    assert got == {(0, 1), (0, 5), (1, 5)}, "a road and number of two districts stand for neither"
+
+
+def test_buildings_are_a_membership(spark):
+    df = companies(spark, (1, "a", "s", "x", "경기도 가나시 다라로 5", "경기도 가나시 마바동 7", None, None), (2, "b", "s", "x", "가나시 다라로 5, 2층", "", None, None), (3, "c", "s", "x", None, "?", None, None))
+    got = {(r.row_id, r.field): r.building for r in locations.buildings(df.unionAll(df.where("row_id = 2"))).collect()}
+    assert set(got) == {(1, "road_address"), (1, "lot_address"), (2, "road_address")} and got[1, "road_address"] == got[2, "road_address"]
+
+
 def test_same_entities(spark):
     df = companies(
         spark,
