@@ -4,9 +4,10 @@ Two kinds of evidence are added as log-odds:
 
 * Lengths. Per source and unit (characters, UTF-8 bytes) a log-normal length
   distribution is fitted by maximum likelihood with the texts at a candidate
-  limit right-censored; the limit that gains most likelihood over an uncensored
-  fit is kept. A text's posterior of being censored there is the share of the
-  texts at that length that the fitted density doesn't explain.
+  limit right-censored. Every limit that gains enough likelihood over an
+  uncensored fit is kept: a source may have one in characters and one in bytes,
+  or have changed it. A text's posterior of being censored at a limit is the
+  share of the texts at that length that the fitted density doesn't explain.
 * Endings. Counts over the whole corpus say which words start sentences and
   which end them, and which fragments close texts (signatures, labels,
   addresses, links). An unfinished sentence is the beginning of sentences that
@@ -23,14 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import filled
 from ..session import settled
 from .spread import spread
 
-#: Cells of each count table; their number doesn't grow with the corpus (10 x 8 MB as they are counted).
+#: Cells of each count table; their number doesn't grow with the corpus (10 x 8 MB as they are counted, 10 x 4 MB as they are used).
 CELLS = 1 << 20
 STARTS, OPEN_STARTS, ENDS, INNER, OPEN_ENDS, LOOSE, PHRASE_ENDS, PHRASE_ENDS_AGAIN, START_PIECES, INNER_PIECES = range(10)
 TABLES = 10
@@ -42,8 +43,8 @@ PHRASE = 3
 LONGEST_PIECE = 16
 #: Texts may be shorter than the limit by this much, where blanks or half a character at the cut were dropped.
 SLACK = {"chars": 2, "bytes": 4}
-#: A limit holds at least this many texts and gains this much log-likelihood per source.
-LEAST_AT_LIMIT, LEAST_GAIN = 5, 12.0
+#: A limit holds at least this many texts, gains this much log-likelihood, and cuts at least this share of the source's texts that are longer.
+LEAST_AT_LIMIT, LEAST_GAIN, LEAST_CUT = 5, 12.0, 0.05
 #: Sources with a limit up to which their limits are broadcast (some 50 bytes each).
 MOST_BROADCAST = 20_000
 #: Log-odds of a text of a source without a limit, of one that stays below its source's limit, and bounds of what one kind of evidence may say.
@@ -96,7 +97,7 @@ def ending_counts(texts: DataFrame) -> DataFrame:
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TABLES * CELLS, np.int32)
+        total = np.zeros(TABLES * CELLS, np.int64)
         for batch in batches:
             tables = [Counter() for _ in range(TABLES)]
             for text in batch.column(0).to_pylist():
@@ -112,7 +113,7 @@ def ending_counts(texts: DataFrame) -> DataFrame:
                 for word, n in table.items():
                     total[k * CELLS + xxhash.xxh64_intdigest(word, _SEED.get(k, 0)) % CELLS] += n
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "n"])
 
     return texts.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
 
@@ -121,20 +122,21 @@ class Endings:
     """How likely an ending is cut, from the corpus' counts."""
 
     def __init__(self, cells: np.ndarray, counts: np.ndarray):
-        table = np.zeros(TABLES * CELLS, np.int32)
+        # Only ratios of counts matter, so seven digits will do; counts of any size fit.
+        table = np.zeros(TABLES * CELLS, np.float32)
         table[cells] = counts
         self.tables = table.reshape(TABLES, CELLS)
-        sums = self.tables.sum(axis=1)
+        sums = self.tables.sum(axis=1, dtype=np.float64)
         # Sentences that are cut, at most: all open ends whose first word also starts finished sentences.
         both = np.minimum(self.tables[OPEN_STARTS], self.tables[STARTS])
-        self.rate = max(1e-5, both.sum() / max(1, sums[STARTS]))
+        self.rate = max(1e-5, float(both.sum(dtype=np.float64)) / max(1, sums[STARTS]))
         self.inner_rate = self.rate * sums[STARTS] / max(1, sums[INNER] + sums[ENDS])
         self.parts = max(1.0, sums[STARTS] / max(1, sums[OPEN_STARTS]))
 
-    def n(self, table: int, word: str) -> int:
+    def n(self, table: int, word: str) -> float:
         import xxhash
 
-        return int(self.tables[table][xxhash.xxh64_intdigest(word, _SEED.get(table, 0)) % CELLS])
+        return float(self.tables[table][xxhash.xxh64_intdigest(word, _SEED.get(table, 0)) % CELLS])
 
     def log_odds(self, part: str) -> float:
         """Of an open last part: is it an unfinished sentence rather than a closing line?"""
@@ -185,12 +187,20 @@ def ending_evidence(text: str, endings: Endings) -> float:
     return odds + (1.5 if marked and odds > 0 else 0.0)
 
 
+def _bare(text_col: str) -> Column:
+    return F.regexp_replace(F.col(text_col), r"(?:\s*(?:…|\.{3}))\s*$", "")
+
+
 def lengths(docs: DataFrame, text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(source, unit, length, n): the length histogram of every source, without what stands for a cut."""
-    bare = F.regexp_replace(F.col(text_col), r"(?:\s*(?:…|\.{3}))\s*$", "")
+    """(source, unit, length, n): different texts of each length in every source, without what stands for a cut.
+
+    Copies of one text are no sign of a limit, so each counts once; the number
+    is a sketch's, merged before the shuffle (about 5 % off for large ones).
+    """
+    bare = _bare(text_col)
     units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.char_length(bare).alias("length")), F.struct(F.lit("bytes").alias("unit"), F.octet_length(bare).alias("length"))))
-    rows = docs.where(filled(text_col)).select(F.col(source_col).alias("source"), units.alias("u"))
-    return rows.groupBy("source", "u.unit", "u.length").agg(F.count("*").alias("n"))
+    rows = docs.where(filled(text_col)).select(F.col(source_col).alias("source"), units.alias("u"), F.xxhash64(bare).alias("_text"))
+    return rows.groupBy("source", "u.unit", "u.length").agg(F.approx_count_distinct("_text").alias("n"))
 
 
 def _fit(x: np.ndarray, n: np.ndarray, cens: np.ndarray, limit: float) -> tuple[float, float, float]:
@@ -226,7 +236,7 @@ def _fit(x: np.ndarray, n: np.ndarray, cens: np.ndarray, limit: float) -> tuple[
 
 
 def _limits(rows: pd.DataFrame) -> pd.DataFrame:
-    """The limits of one source: the pile of one unit that a censored fit explains best."""
+    """The candidate limits of one source, the largest pile first: what a censored fit explains."""
     found = []
     for unit, own in rows.groupby("unit"):
         own = own.sort_values("length")
@@ -234,31 +244,71 @@ def _limits(rows: pd.DataFrame) -> pd.DataFrame:
         slack, total = SLACK[unit], n.sum()
         sums = np.concatenate([[0.0], np.cumsum(n)])
         within = lambda low, high: sums[np.searchsorted(size, high, "right")] - sums[np.searchsorted(size, low)]  # noqa: B023, E731
-        best = None
         for limit in size[n >= LEAST_AT_LIMIT]:
             pile = within(limit - slack, limit)
             around = (within(0.8 * limit, 1.2 * limit) - pile) / max(1.0, 0.4 * limit - slack - 1) * (slack + 1)
-            if pile < 5 * (around + 0.5):
+            if pile < max(5 * (around + 0.5), LEAST_CUT * (total - within(0, limit))):
                 continue
             near = (size >= limit - slack) & (size <= limit)
             x = np.log(np.where(near, limit, size))
             mu, sd, likely = _fit(x, n, near, math.log(limit))
             gain = likely - _fit(x, n, np.zeros(len(x), bool), math.log(limit))[2]
             dense = total * math.exp(-0.5 * ((math.log(limit) - mu) / sd) ** 2) / (sd * limit * math.sqrt(2 * math.pi)) * (slack + 1)
-            posterior = min(0.995, max(0.05, 1 - max(dense, around) / pile))
-            if gain >= LEAST_GAIN and (best is None or pile > best[3]):
-                best = (unit, int(limit), posterior, pile)
-        if best:
-            found.append(best)
-    out = max(found, key=lambda b: b[3], default=None)
-    if out is None:
-        return pd.DataFrame(columns=["source", "unit", "limit", "posterior"])
-    return pd.DataFrame([(rows["source"].iloc[0], *out[:3])], columns=["source", "unit", "limit", "posterior"])
-
-
-def field_limits(docs: DataFrame, source_col: str = "source") -> DataFrame:
-    """(source, unit, limit, posterior) of every source that has a limit; posterior: of a text at the limit being cut."""
-    return lengths(docs, source_col=source_col).groupBy("source").applyInPandas(_limits, "source string, unit string, limit bigint, posterior double")
+            if gain >= LEAST_GAIN:
+                found.append((pile, unit, int(limit), min(0.995, max(0.05, 1 - max(dense, around) / pile))))
+    out = []
+    for pile, unit, limit, posterior in sorted(found, reverse=True):
+        # One pile is seen at neighbouring lengths, and in both units where texts are ASCII.
+        if all(abs(limit - other) > SLACK[unit] + SLACK[kind] for kind, other, _, _ in out):
+            out.append((unit, limit, posterior, float(pile)))
+    return pd.DataFrame([(rows["source"].iloc[0], k, *x) for k, x in enumerate(out)], columns=["source", "place", "unit", "limit", "posterior", "pile"])
+
+
+def _there(length: Column, unit: Column, limit: Column) -> Column:
+    return length.between(limit - F.when(unit == "bytes", SLACK["bytes"]).otherwise(SLACK["chars"]), limit)
+
+
+def _own(rows: pd.DataFrame) -> pd.DataFrame:
+    """The candidates that aren't explained by larger ones: at least half of their texts lie at none of those."""
+    first = rows.iloc[0]
+    kept: list[int] = []
+    for k in sorted({k for ks in rows["at"] for k in ks}):
+        mine = rows[[k in ks for ks in rows["at"]]]
+        alone = mine[[not set(kept) & set(ks) for ks in mine["at"]]]
+        if 2 * alone["n"].sum() >= mine["n"].sum():
+            kept.append(k)
+    return pd.DataFrame([(first["source"], k) for k in kept], columns=["source", "place"])
+
+
+def field_limits(docs: DataFrame, text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(source, unit, limit, posterior) of every limit of every source; posterior: of a text at the limit being cut.
+
+    Texts cut to so many characters have like numbers of bytes. So where a source
+    has several candidates, a candidate counts only if most of its texts don't
+    lie at a larger one too.
+    """
+    kind = "source string, place int, unit string, limit bigint, posterior double, pile double"
+    found = settled(lengths(docs, text_col, source_col).groupBy("source").applyInPandas(_limits, kind))
+    several = found.groupBy("source").agg(F.collect_list(F.struct("place", "unit", "limit")).alias("candidates")).where("size(candidates) > 1")
+    out = ["source", "unit", "limit", "posterior"]
+    if several.isEmpty():
+        return found.select(*out)
+    bare = _bare(text_col)
+    texts = docs.where(filled(text_col)).select(F.col(source_col).alias("_source"), F.char_length(bare).alias("chars"), F.octet_length(bare).alias("bytes"))
+    texts = texts.join(several, F.col("_source").eqNullSafe(F.col("source")))
+    at = F.transform(F.filter("candidates", lambda c: _there(F.when(c["unit"] == "bytes", F.col("bytes")).otherwise(F.col("chars")), c["unit"], c["limit"])), lambda c: c["place"])
+    counted = texts.select("source", F.array_sort(at).alias("at")).where("size(at) > 0").groupBy("source", "at").agg(F.count("*").alias("n"))
+    own = counted.groupBy("source").applyInPandas(_own, "source string, place int").alias("o")
+    f, alone = found.alias("f"), found.where("place = 0").alias("a").select(F.col("a.source").alias("source"), "place")
+    kept = own.select("source", "place").unionByName(alone).distinct().alias("o")
+    return f.join(kept, F.col("f.source").eqNullSafe(F.col("o.source")) & (F.col("f.place") == F.col("o.place"))).select(*(f"f.{c}" for c in out))
+
+
+def _at(text: str, limits: list[dict]) -> float | None:
+    """The greatest posterior of the limits that a text lies at."""
+    bare = _MARKER.sub("", text)
+    size = {"chars": len(bare), "bytes": len(bare.encode("utf-8", "surrogatepass"))}
+    return max((x["posterior"] for x in limits if x["limit"] - SLACK[x["unit"]] <= size[x["unit"]] <= x["limit"] + (2 if x["unit"] == "bytes" else 0)), default=None)
 
 
 def truncated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -266,13 +316,13 @@ def truncated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     NULL, empty and blank texts were not cut. A text is cut from a probability of
     one half. Counts are over all texts and collected as tables of fixed size;
-    the limits are one row per source. Repeated rows come out again.
+    the limits are a short list per source. Repeated rows come out again.
     """
     sc = docs.sparkSession.sparkContext
     source = spread(docs.select(id_col, source_col, text_col))
     counts = ending_counts(source.select(text_col)).toArrow()
     endings = sc.broadcast(Endings(counts.column("cell").to_numpy(), counts.column("n").to_numpy()))
-    limits = settled(field_limits(source, source_col).withColumnRenamed("source", "_source"))
+    limits = settled(field_limits(source, text_col, source_col).groupBy(F.col("source").alias("_source")).agg(F.collect_list(F.struct("unit", "limit", "posterior")).alias("limits")))
     # One row per source with a limit: usually few, but only broadcast if they are.
     limits = F.broadcast(limits) if limits.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else limits
     rows = source.join(limits, F.col(source_col).eqNullSafe(F.col("_source")), "left").drop("_source")
@@ -280,19 +330,17 @@ def truncated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = endings.value
         for batch in batches:
-            texts, units, tops, posts = (batch.column(k).to_pylist() for k in (2, 3, 4, 5))
+            texts, limits = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             keep, at_limit, chance = [], [], []
             for k, text in enumerate(texts):
                 if not text or not text.strip():
                     continue
-                bare = _MARKER.sub("", text)
-                size = None if units[k] is None else len(bare) if units[k] == "chars" else len(bare.encode("utf-8", "surrogatepass"))
-                there = size is not None and tops[k] - SLACK[units[k]] <= size <= tops[k] + (2 if units[k] == "bytes" else 0)
-                by_length = math.log(posts[k] / (1 - posts[k])) if there else PRIOR if size is None else PRIOR_BELOW_LIMIT
+                there = _at(text, limits[k]) if limits[k] else None
+                by_length = math.log(there / (1 - there)) if there else PRIOR if not limits[k] else PRIOR_BELOW_LIMIT
                 odds = by_length + ending_evidence(text, model)
                 if odds > 0:
                     keep.append(k)
-                    at_limit.append(there)
+                    at_limit.append(there is not None)
                     chance.append(1 / (1 + math.exp(-odds)))
             hit = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([hit.column(0), hit.column(1), pa.array(at_limit, pa.bool_()), pa.array(chance, pa.float64())], names=[id_col, "source", "at_limit", "probability"])

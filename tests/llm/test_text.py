@@ -289,6 +289,29 @@ def test_limits_and_rates(texts):
     assert rates["limited"].texts == 750 and rates["free"].cut >= 140
 
 
+def test_several_limits(spark):
+    rng = random.Random(8)
+    data = []
+    for i in range(3000):
+        t = article(rng.randint(1, 12))
+        top = 200 if i % 2 else 330
+        data.append((i, t[:top] if i % 3 else t, "changed"))
+    one = article(7)[:-1]
+    data += [(9000 + i, one, "copies") for i in range(400)] + [(20000 + i, article(rng.randint(1, 9)), "copies") for i in range(600)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    assert sorted((r.source, r.unit, r["limit"]) for r in truncation.field_limits(df).collect()) == [("changed", "chars", 200), ("changed", "chars", 330)]
+
+
+def test_counts_beyond_32_bits():
+    import xxhash
+
+    cell = lambda table, w: table * truncation.CELLS + xxhash.xxh64_intdigest(w) % truncation.CELLS
+    cells = [cell(truncation.STARTS, "가"), cell(truncation.INNER, "나"), cell(truncation.ENDS, "다"), cell(truncation.OPEN_STARTS, "가")]
+    model = truncation.Endings(__import__("numpy").array(cells), __import__("numpy").array([3 * 10**9, 5 * 10**9, 3 * 10**9, 10**9]))
+    assert model.n(truncation.STARTS, "가") == 3 * 10**9 and model.rate > 0
+    assert model.log_odds("가 나 나") > 0
+
+
 def test_nothing_truncated(texts):
     df, _ = texts
     assert truncation.truncated(df.limit(0)).count() == 0
