@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 
 from .spread import spread
 
-#: Characters of a text that is encoded in one go.
-LEAF = 8192
+#: Characters of a text that is encoded in one go; longer ones, the average document among them, by halves.
+LEAF = 256
+#: Ids of one batch of results, whose places in it are 32-bit numbers.
+MOST_IDS = 1 << 28
 
 
 def default_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -95,7 +97,20 @@ def codec(path: str, leaf: int = LEAF) -> Codec:
     return Codec(path, leaf)
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF) -> DataFrame:
+def _parted(lists: Iterator[np.ndarray], most: int) -> Iterator[list[np.ndarray]]:
+    """The lists in groups of at most ``most`` numbers, a longer one alone; at least one group."""
+    part: list[np.ndarray] = []
+    n = 0
+    for x in lists:
+        if part and n + len(x) > most:
+            yield part
+            part, n = [], 0
+        part.append(x)
+        n += len(x)
+    yield part
+
+
+def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF, most: int = MOST_IDS) -> DataFrame:
     """(doc_id, ids) of every row: the ids of the whole text without special tokens.
 
     NULL and '' give the empty list; blank texts and texts of special tokens are
@@ -108,12 +123,14 @@ def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = codec(where, leaf).encode
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            lists = [np.asarray(encode(t), dtype=np.int32) if t else np.empty(0, np.int32) for t in texts]
-            offsets = np.zeros(len(lists) + 1, np.int32)
-            np.cumsum([len(x) for x in lists], out=offsets[1:])
-            values = np.concatenate(lists) if lists else np.empty(0, np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=[id_col, "ids"])
+            lists = (np.asarray(encode(t), dtype=np.int32) if t else np.empty(0, np.int32) for t in batch.column(1).to_pylist())
+            first = 0
+            for part in _parted(lists, most):
+                offsets = np.zeros(len(part) + 1, np.int32)
+                np.cumsum([len(x) for x in part], out=offsets[1:])
+                values = np.concatenate(part) if part else np.empty(0, np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(part)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=[id_col, "ids"])
+                first += len(part)
 
     id_type = source.schema[id_col].dataType.simpleString()
     return spread(source).mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")

@@ -103,10 +103,19 @@ def test_encoded_documents(spark):
     got = sorted((r.doc_id, r.ids) for r in out.collect())
     want = library()
     assert got == sorted([(i, want(t) if t else []) for i, t in enumerate(texts)] + [(0, want(texts[0]))])
+    assert sorted((r.doc_id, r.ids) for r in encoding.encode_documents(df, most=10).collect()) == got
     assert dict(rows(encoding.decode_documents(out))) == {i: t or "" for i, t in enumerate(texts)}
     assert encoding.encode_documents(df.limit(0)).count() == 0
 
 
+def test_ordinary_texts_are_joined(spark, monkeypatch):
+    joins = []
+    whole = encoding.Codec(encoding.default_path(), encoding.LEAF)
+    monkeypatch.setattr(whole, "join", lambda *a: joins.append(1) or encoding.Codec.join(whole, *a))
+    text = "경기도 가나시 다라로에 자리한 회사로 Industrial pumps 12,000 units를 만듭니다. " * 8
+    assert whole.encode(text) == library()(text) and len(joins) >= 1
+
+
 # --- leaks ---
 
 
