@@ -12,6 +12,7 @@ from . import encoding, entities, leakage, locations, mojibake, proportions, sur
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p2_found": proportions.p2_found,
+        "p2_sample": proportions.p2_sample,
         "p3_found": topn.p3_found,
         "p4_found": survivor.p4_found,
         "p5_found": entities.p5_found,
@@ -26,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": proportions.P2_SQL, "p3_found": topn.P3_SQL, "p4_found": survivor.P4_SQL}
+    return {"p2_found": proportions.P2_SQL, "p2_sample": proportions.P2_SAMPLE_SQL, "p3_found": topn.P3_SQL, "p4_found": survivor.P4_SQL}

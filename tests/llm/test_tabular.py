@@ -65,10 +65,11 @@ def plan(spark, size, shares, floor, province=None):
 def test_category_spellings(spark):
     import unicodedata
 
-    given = ["제조", " 제조\t", unicodedata.normalize("NFD", "제조"), "ｉｔ＿ＳＷ＿벤처", "it_sw_벤처", "　건설＿물류＿시설", "기타", "", None]
-    df = spark.createDataFrame([(v,) for v in given], "c string")
-    got = [r[0] for r in df.select(proportions.canonical_category("c")).collect()]
-    assert got == [C.MANUFACTURING] * 3 + [C.IT] * 2 + [C.CONSTRUCTION] + [None] * 3
+    given = ["제조", " 제조\t", unicodedata.normalize("NFD", "제조"), "ｉｔ＿ＳＷ＿벤처", "it_sw_벤처", "　건설＿물류＿시설", "NEW kind", "기타", "", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(given)], "id int, category string")
+    plans = spark.createDataFrame([(c,) for c in [*C.CATEGORIES, "new KIND"]], "category string")
+    got = dict(rows(proportions.named(df, plans)))
+    assert got == {0: C.MANUFACTURING, 1: C.MANUFACTURING, 2: C.MANUFACTURING, 3: C.IT, 4: C.IT, 5: C.CONSTRUCTION, 6: "new KIND"}
 
 
 def seats(supply, shares, size, floor):
@@ -91,13 +92,19 @@ def test_divisor_method(spark, sizes, shares, size, floor):
     assert got == {c: n for c, n in want.items() if n}
 
 
-def test_ranks_are_a_row_number(spark):
-    members = spark.createDataFrame([(f"k{i}", g) for i in range(500) for g in ("a", None)], "k string, g string")
-    out = proportions.ranked(members, ["g"], "k", 42).collect()
-    for g in ("a", None):
-        assert sorted(r["rank"] for r in out if r.g == g) == list(range(1, 501))
+def test_ranks_are_a_row_number(spark, monkeypatch):
+    members = spark.createDataFrame([(f"k{i}", g) for i in range(500) for g in ("a", None)], "k string, g string").withColumn("most", F.lit(120))
     by_hash = sorted((__import__("hashlib").sha256(f"42|k{i}".encode()).hexdigest()[:15], f"k{i}") for i in range(500))
-    assert [r.k for r in sorted((r for r in out if r.g == "a"), key=lambda r: r["rank"])] == [k for _, k in by_hash]
+    for per_slice in (proportions.PER_SLICE, 30):
+        monkeypatch.setattr(proportions, "PER_SLICE", per_slice)
+        placed, sizes = proportions.ranked(members, ["g"], "k", 42)
+        out = placed.collect()
+        for g in ("a", None):
+            assert [r.k for r in sorted((r for r in out if r.g == g), key=lambda r: r["rank"])] == [k for _, k in by_hash]
+            assert sorted(r["rank"] for r in out if r.g == g) == list(range(1, 501))
+        assert rows(sizes) == [("a", 500), (None, 500)]
+        first = proportions.ranked(members, ["g"], "k", 42, "most")[0].where("rank <= 120 and g = 'a'").collect()
+        assert {r.k for r in first} == {k for _, k in by_hash[:120]}
 
 
 def test_unmet_targets(spark):
@@ -109,6 +116,14 @@ def test_unmet_targets(spark):
     assert local[C.SERVICES] == 0 and local[C.MANUFACTURING] == 100
     assert proportions.report(df.limit(0), plan(spark, 10, (25, 25, 25, 25), 0)).where("unmet").count() == 4
     assert proportions.sample(df.limit(0), plan(spark, 10, (25, 25, 25, 25), 0)).count() == 0
+    assert proportions.sample(df, plan(spark, 10, (25, 25, 25, 25), 0).limit(0)).count() == 0
+
+
+def test_slices_of_priorities_change_nothing(spark):
+    data = [(1, c, f"k{c}{i}", i, 50, 5.0, (i - 0.5) / t, i <= 2) for c, t in zip("abcd", (40, 30, 20, 10), strict=True) for i in range(1, 51)]
+    df = spark.createDataFrame(data, "plan_id int, category string, company_key string, rank bigint, sample_size bigint, _top double, priority double, is_floor boolean")
+    want = rows(proportions._smallest(df).select("company_key"))
+    assert len(want) == 50 and all(rows(proportions._smallest(df, n).select("company_key")) == want for n in (1, 7, 60))
 
 
 def test_usable_homepages(spark):
