@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_sample": proportions.p2_sample,
         "p3_found": topn.p3_found,
         "p4_found": survivor.p4_found,
+        "p4_consensus": survivor.p4_consensus,
         "p5_found": entities.p5_found,
         "p6_found": locations.p6_found,
         "p6_buildings": locations.p6_buildings,

@@ -1,8 +1,17 @@
-"""The best representative of each duplicate group, field by field, by token-level consensus."""
+"""The best representative of each duplicate group, field by field, by token-level consensus.
+
+Progressive alignment along a star: the group's centre (its most supported, or
+most trusted, value) is the profile's first sequence, and every other different
+value is aligned with it token by token; tokens that the centre lacks open
+columns of their own. Every column is voted on, and the existing value closest
+to the winning tokens survives. Each value meets the centre and its votes only,
+so votes are sums: groups of any size give the same result, in one task or in many.
+"""
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,11 +20,10 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.text import filled, real_date, strip
+from ..session import settled
 
-#: Values aligned in one go; larger groups are reduced chunk by chunk, so no task ever holds one.
-CHUNK = 64
-#: Rounds of reduction before the last; CHUNK ** (ROUNDS + 1) values of a group fit without a larger chunk.
-ROUNDS = 2
+#: Different values up to which a group is handled in one task; larger ones are spread, with the same result.
+TOGETHER = 64
 #: A plausible head count.
 EMPLOYEES = (1, 50_000)
 
@@ -26,32 +34,31 @@ def tokens(value: str) -> list[str]:
     return _TOKEN.findall(value.lower())
 
 
-def align(profile: list[dict], seq: list[str], weight: int, before: int) -> list[dict]:
-    """Needleman-Wunsch of a token sequence with a profile of weighted token votes; '' votes for a gap.
+def align(centre: list[str], seq: list[str]) -> list[tuple[int, int, str]]:
+    """Needleman-Wunsch of a token sequence with the centre, as votes (column, insertion, token).
 
-    ``before`` is the weight of all sequences already in the profile.
+    Column i is the centre's token i ('' votes for leaving it out), with
+    insertion 0; what is inserted after it (-1: before the first) is numbered from 1.
     """
-    n, m = len(profile), len(seq)
-    fit = lambda col, tok: (2 if tok in col else -1)
-    cost = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(1, n + 1):
-        cost[i][0] = -i
-    for j in range(1, m + 1):
-        cost[0][j] = -j
+    n, m = len(centre), len(seq)
+    cost = [[-i - j if not i or not j else 0 for j in range(m + 1)] for i in range(n + 1)]
     for i in range(1, n + 1):
         for j in range(1, m + 1):
-            cost[i][j] = max(cost[i - 1][j - 1] + fit(profile[i - 1], seq[j - 1]), cost[i - 1][j] - 1, cost[i][j - 1] - 1)
-    out: list[dict] = []
+            fit = 2 if centre[i - 1] == seq[j - 1] else -1
+            cost[i][j] = max(cost[i - 1][j - 1] + fit, cost[i - 1][j] - 1, cost[i][j - 1] - 1)
+    matched, between = [], defaultdict(list)
     i, j = n, m
     while i or j:
-        if i and j and cost[i][j] == cost[i - 1][j - 1] + fit(profile[i - 1], seq[j - 1]):
-            col, tok, i, j = profile[i - 1], seq[j - 1], i - 1, j - 1
+        if i and j and cost[i][j] == cost[i - 1][j - 1] + (2 if centre[i - 1] == seq[j - 1] else -1):
+            i, j = i - 1, j - 1
+            matched.append((i, 0, seq[j]))
         elif i and cost[i][j] == cost[i - 1][j] - 1:
-            col, tok, i = profile[i - 1], "", i - 1
+            i -= 1
+            matched.append((i, 0, ""))
         else:
-            col, tok, j = {"": before}, seq[j - 1], j - 1
-        out.append({**col, tok: col.get(tok, 0) + weight})
-    return out[::-1]
+            j -= 1
+            between[i - 1].append(seq[j])
+    return matched[::-1] + [(at, k, t) for at, ts in sorted(between.items()) for k, t in enumerate(reversed(ts), 1)]
 
 
 def distance(a: list[str], b: list[str]) -> int:
@@ -64,69 +71,114 @@ def distance(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
-def elect(values: list[str], weights: list[int]) -> int:
-    """The index of the value closest to the weighted consensus; ``values`` stand in order of trust, which settles ties."""
+def elect(values: list[str], support: list[int], dominance: bool) -> int:
+    """The index of the value closest to the consensus; ``values`` stand in order of trust, which settles ties."""
     seqs = [tokens(v) for v in values]
-    order = sorted(range(len(seqs)), key=lambda k: (-weights[k], k))
-    profile: list[dict] = []
-    total = 0
-    for k in order:
-        profile = align(profile, seqs[k], weights[k], total)
-        total += weights[k]
-    consensus = [t for t in (max(sorted(c), key=c.__getitem__) for c in profile) if t]
-    return min(range(len(seqs)), key=lambda k: (distance(seqs[k], consensus), k))
+    order = range(len(values)) if dominance else sorted(range(len(values)), key=lambda k: (-support[k], k))
+    centre = seqs[order[0]]
+    columns: dict[tuple[int, int], dict[str, tuple]] = defaultdict(dict)
+    for k in range(len(values)):
+        for i, j, t in align(centre, seqs[k]):
+            n, first = columns[i, j].get(t, (0, k))
+            columns[i, j][t] = (n + support[k], min(first, k))
+    total = sum(support)
+    consensus = []
+    for at, votes in sorted(columns.items()):
+        if at[1]:
+            # Whoever inserts nothing here votes for nothing; the centre, the most trusted one, is among them.
+            votes[""] = (total - sum(n for n, _ in votes.values()), -1)
+        best = min(votes, key=lambda t: (votes[t][1], t)) if dominance else min(votes, key=lambda t: (-votes[t][0], t))
+        consensus += [best] if best else []
+    rank = {k: r for r, k in enumerate(order)}
+    return min(range(len(values)), key=lambda k: (distance(seqs[k], consensus), rank[k]))
+
+
+_OUT = "group_key string, field_name string, value string, row_id bigint, support bigint"
+
+
+def consensus_survivors(rows: DataFrame, dominance: bool = True, together: int = TOGETHER) -> DataFrame:
+    """One existing value per (group_key, field_name): group_key, field_name, value, row_id, support.
+
+    Input: group_key, field_name, value STRING, trust STRING (sorts the most
+    trusted first; total within a group), row_id BIGINT. NULL or blank values take no
+    part; groups without a usable value give no row; NULL keys give none.
+
+    With ``dominance`` the most trusted value that votes in a column wins it, as
+    if every value outweighed all less trusted ones together; all win by the most trusted value
+    then, which survives. Otherwise every row has a vote, ties go to the token
+    that sorts first, and of values equally close the more supported, then the more trusted.
+
+    Equal values are merged in Spark first (the most trusted row stands for
+    them). Groups of up to ``together`` different values are elected in one
+    task; of larger ones values, votes and distances are rows of their own.
+    """
+    usable = rows.where(filled("value") & F.col("group_key").isNotNull())
+    merged = usable.groupBy("group_key", "field_name", "value").agg(F.min(F.struct("trust", "row_id")).alias("_best"), F.count("*").alias("support"))
+    merged = settled(merged.select("group_key", "field_name", "_best.trust", "value", "_best.row_id", "support"))
+    # A list of at most ``together`` + 1 values, whatever the group's size.
+    member = F.struct("trust", "value", "row_id", "support")
+    sizes = merged.groupBy("group_key", "field_name").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > together)
+    key = ["group_key", "field_name"]
+    if large.isEmpty():
+        small, spread_out = merged, None
+    else:
+        large = settled(large.drop("n"))
+        small, spread_out = merged.join(large, key, "left_anti"), _spread(merged.join(large, key, "left_semi"), dominance)
+    packed = small.groupBy(*key).agg(F.sort_array(F.collect_list(member)).alias("members"))
+    several = F.size("members") > 1
+    alone = packed.where(~several).select(*key, F.inline("members")).select("group_key", "field_name", "value", "row_id", "support")
+    voted = packed.where(several).mapInPandas(_elections(dominance), _OUT)
+    out = alone.unionByName(voted)
+    return out if spread_out is None else out.unionByName(spread_out)
 
 
 def _elections(dominance: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            kept = []
+            best = []
             for members in pdf["members"]:
-                n = len(members)
-                weights = [1 << (n - 1 - k) for k in range(n)] if dominance else [m["support"] for m in members]
-                kept.append(elect([m["value"] for m in members], weights))
-            rows = [ms[k] for ms, k in zip(pdf["members"], kept, strict=True)]
-            support = [sum(m["support"] for m in ms) for ms in pdf["members"]]
-            yield pd.DataFrame({"group_key": pdf["group_key"], "field_name": pdf["field_name"], "trust": [r["trust"] for r in rows], "value": [r["value"] for r in rows], "row_id": [r["row_id"] for r in rows], "support": support})
+                kept = members[elect([m["value"] for m in members], [m["support"] for m in members], dominance)]
+                best.append((kept["value"], kept["row_id"], sum(m["support"] for m in members)))
+            yield pd.DataFrame({"group_key": pdf["group_key"], "field_name": pdf["field_name"], **dict(zip(("value", "row_id", "support"), zip(*best, strict=True), strict=True))})
 
     return run
 
 
-def consensus_survivors(rows: DataFrame, dominance: bool = True) -> DataFrame:
-    """One existing value per (group_key, field_name): group_key, field_name, value, row_id, support.
+def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = []
+        for r in pdf.itertuples(index=False):
+            out += [(r.group_key, r.field_name, i, j, t, r.support, r.trust) for i, j, t in align(tokens(r.centre), tokens(r.value))]
+        yield pd.DataFrame(out, columns=["group_key", "field_name", "at", "insertion", "token", "support", "trust"])
 
-    Input: group_key, field_name, value STRING, trust STRING (sorts the most
-    trusted first; total within a group), row_id. NULL or blank values take no
-    part; groups without a usable value give no row; NULL keys give none.
 
-    The different values of a group are aligned token by token, one after the
-    other (progressive alignment); in each column the tokens are voted on with
-    weights, and the existing value closest to the winning tokens survives. With
-    ``dominance`` a value weighs more than all less trusted ones together (powers
-    of two), so trust decides column by column; otherwise its rows count.
-
-    Equal values are merged in Spark first (the most trusted row stands for
-    them). A group with more than CHUNK different values is reduced chunk by
-    chunk: with dominance that changes nothing, as the most trusted value wins
-    every chunk that holds it; by rows it is a vote of chunks.
-    """
-    usable = rows.where(filled("value") & F.col("group_key").isNotNull())
-    merged = usable.groupBy("group_key", "field_name", "value").agg(F.min(F.struct("trust", "row_id")).alias("_best"), F.count("*").alias("support"))
-    merged = merged.select("group_key", "field_name", "_best.trust", "value", "_best.row_id", "support")
-    for left in range(ROUNDS, -1, -1):
-        merged = _reduce(merged, CHUNK**left, dominance)
-    return merged.select("group_key", "field_name", "value", "row_id", "support")
+def _distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        far = [distance(tokens(v), list(c)) for v, c in zip(pdf["value"], pdf["consensus"], strict=True)]
+        yield pdf.drop(columns="consensus").assign(far=far)
 
 
-def _reduce(merged: DataFrame, chunks: int, dominance: bool) -> DataFrame:
-    """One survivor per group and chunk of its values."""
-    chunk = [F.pmod(F.xxhash64("value"), F.lit(chunks)).alias("_chunk")] if chunks > 1 else []
-    members = F.sort_array(F.collect_list(F.struct("trust", "value", "row_id", "support"))).alias("members")
-    packed = merged.groupBy("group_key", "field_name", *chunk).agg(members).select("group_key", "field_name", "members")
-    several = F.size("members") > 1
-    alone = packed.where(~several).select("group_key", "field_name", F.inline("members"))
-    voted = packed.where(several).mapInPandas(_elections(dominance), alone.schema)
-    return alone.unionByName(voted)
+def _spread(merged: DataFrame, dominance: bool) -> DataFrame:
+    """The same election with one row per value and vote: sums and minima, which Spark combines before it shuffles."""
+    key = ["group_key", "field_name"]
+    order = F.struct("trust") if dominance else F.struct((-F.col("support")).alias("s"), F.col("trust").alias("t"))
+    groups = merged.groupBy(*key).agg(F.min_by("value", order).alias("centre"), F.sum("support").alias("total"))
+    votes = merged.join(groups, key).select(*key, "value", "centre", "support", "trust").mapInPandas(_votes, "group_key string, field_name string, at int, insertion int, token string, support bigint, trust string")
+    counted = votes.groupBy(*key, "at", "insertion", "token").agg(F.sum("support").alias("n"), F.min("trust").alias("trust"))
+    column = counted.groupBy(*key, "at", "insertion").agg(
+        F.sum("n").alias("voted"), F.min_by(F.struct("token", "n"), F.struct("trust", "token") if dominance else F.struct((-F.col("n")).alias("n"), F.col("token").alias("t"))).alias("best")
+    )
+    # Whoever inserts nothing votes for nothing: as '' sorts first it wins ties, and with dominance the centre always wins.
+    silent = F.col("total") - F.col("voted")
+    kept = F.when(F.col("insertion") == 0, F.col("best.token")).when(F.lit(not dominance) & (F.col("best.n") > silent), F.col("best.token")).otherwise("")
+    won = column.join(groups.select(*key, "total"), key).select(*key, "at", "insertion", kept.alias("token")).where("token != ''")
+    consensus = won.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("at", "insertion", "token"))).alias("c")).select(*key, F.transform("c", lambda x: x["token"]).alias("consensus"))
+    compared = merged.join(consensus, key, "left").withColumn("consensus", F.coalesce("consensus", F.array().cast("array<string>")))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in merged.schema)
+    far = compared.mapInPandas(_distances, f"{kinds}, far int")
+    best = far.groupBy(*key).agg(F.min_by(F.struct("value", "row_id"), F.struct(F.col("far").alias("f"), order.alias("o"))).alias("b"), F.sum("support").alias("support"))
+    return best.select(*key, "b.value", F.col("b.row_id").cast("bigint").alias("row_id"), "support")
 
 
 def usable_homepage(c: str) -> Column:
@@ -161,10 +213,18 @@ def field_values(companies: DataFrame, registries: DataFrame) -> DataFrame:
     return rows.join(many.withColumnRenamed("company_key", "group_key"), "group_key", "left_semi")
 
 
-def p4_found(spark, sf_dir: str) -> DataFrame:
+def _best(spark, sf_dir: str, dominance: bool) -> DataFrame:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    best = consensus_survivors(field_values(read("companies"), read("registries")))
-    return best.select(F.col("group_key").alias("company_key"), "field_name", "row_id")
+    return consensus_survivors(field_values(read("companies"), read("registries")), dominance).withColumnRenamed("group_key", "company_key")
+
+
+def p4_found(spark, sf_dir: str) -> DataFrame:
+    return _best(spark, sf_dir, True).select("company_key", "field_name", "row_id")
+
+
+def p4_consensus(spark, sf_dir: str) -> DataFrame:
+    """The value that most rows' tokens agree on, whatever their trust."""
+    return _best(spark, sf_dir, False).select("company_key", "field_name", "value", "row_id", "support")
 
 
 _DATE = """try_cast(CASE

@@ -137,21 +137,32 @@ def test_election_follows_dominance():
     rng = random.Random(3)
     for _ in range(300):
         values = list({".".join(rng.choices("abcd", k=rng.randint(1, 5))) for _ in range(rng.randint(1, 8))})
-        assert survivor.elect(values, [1 << (len(values) - 1 - k) for k in range(len(values))]) == 0
+        assert survivor.elect(values, [rng.randint(1, 9) for _ in values], True) == 0
 
 
 def test_election_by_support():
-    assert survivor.elect(["www.firm.kr/x", "firm.kr", "firm.kr/", "other.com"], [1, 5, 3, 1]) == 1
-    assert survivor.elect(["a b d", "a c d", "a b c"], [1, 1, 1]) in (0, 1, 2)
+    assert survivor.elect(["www.firm.kr/x", "firm.kr", "firm.kr/", "other.com"], [1, 5, 3, 1], False) == 1
+    # No value has most rows, but most rows agree on every token of the second.
+    assert survivor.elect(["a b x d", "a b c d", "y b c d", "a b c z"], [1, 1, 1, 1], False) == 1
+    assert survivor.elect(["firm", "firm co kr", "firm co"], [2, 2, 2], False) in (1, 2)
 
 
-def test_alignment_keeps_every_sequence():
-    profile = []
-    total = 0
-    for seq in (["a", "b", "c"], ["a", "c"], ["x", "a", "c", "d"]):
-        profile = survivor.align(profile, seq, 1, total)
-        total += 1
-        assert all(sum(col.values()) == total for col in profile)
+def test_alignment_keeps_every_token():
+    rng = random.Random(4)
+    for _ in range(300):
+        centre, seq = (rng.choices("abc", k=rng.randint(0, 7)) for _ in range(2))
+        votes = survivor.align(centre, seq)
+        assert [t for _, _, t in sorted(votes) if t] == seq and sorted(i for i, j, _ in votes if not j) == list(range(len(centre)))
+
+
+@pytest.mark.parametrize("dominance", [True, False])
+def test_groups_of_any_size_are_elected_alike(spark, dominance):
+    rng = random.Random(6)
+    words = ["firm", "co", "kr", "www", "shop", "x", "/", "."]
+    data = [(f"g{g}", "f", " ".join(rng.choices(words, k=rng.randint(1, 6))), f"{rng.random():.12f}", i, 0) for i in range(600) for g in [rng.randrange(25)]]
+    df = spark.createDataFrame(data, "group_key string, field_name string, value string, trust string, row_id bigint, centre int")
+    together, apart = (rows(survivor.consensus_survivors(df, dominance, n)) for n in (10_000, 1))
+    assert together == apart == rows(survivor.consensus_survivors(df, dominance, 12)) and len(together) == 25
 
 
 COMPANIES = "row_id bigint, company_key string, source_dataset_id string, homepage string, employees double, registered_on string, collected_on string, value string, trust string"
@@ -183,8 +194,9 @@ def test_survivors_against_rule(spark):
     assert survivor.consensus_survivors(survivor.field_values(df.limit(0), registries)).count() == 0
 
 
-def test_large_group_is_reduced_in_chunks(spark):
+def test_large_group_is_spread(spark):
     df = spark.range(5000).select(F.lit("g").alias("group_key"), F.lit("f").alias("field_name"), F.concat(F.lit("v"), F.col("id")).alias("value"), F.format_string("%010d", 4999 - F.col("id")).alias("trust"), F.col("id").alias("row_id"))
     assert rows(survivor.consensus_survivors(df).select("row_id", "support")) == [(4999, 5000)]
+    assert survivor.consensus_survivors(df.limit(300).unionAll(df.where("row_id = 17")), dominance=False).first().row_id == 17
     assert survivor.consensus_survivors(df.withColumn("value", F.lit("same")), dominance=False).first().support == 5000
     assert survivor.consensus_survivors(df.withColumn("value", F.lit(" "))).count() == 0
