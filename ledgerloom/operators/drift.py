@@ -17,24 +17,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import settled
+
 #: Types of a JSON value, in the order that settles ties.
 KINDS = ["string", "number", "boolean", "array", "object"]
 #: Hash functions of each of a field's two value sketches; the error of an estimated overlap is below 0.1.
 SKETCH = 32
-#: A rename's contents agree in at least this share of their values (estimated Jaccard similarity), and in this one
-#: where there are hardly any different values, so that fields agree by chance. Records come and go between files, and
-#: are compared as they stand, so that the share is well below 1; different contents share next to nothing.
+#: Share of values in which two fields' contents agree (estimated Jaccard similarity) from which they may be one field,
+#: and where there are hardly any different values, so that fields agree by chance. Records come and go between files, and
+#: are compared as they stand, so that the share is well below 1; different contents share next to nothing. Twice the
+#: share counts as full agreement.
 SAME_CONTENT, SAME_CONTENT_OF_FLAGS, FLAG_VALUES = 0.1, 0.4, 3
+#: What name and content give a pair of fields to start with, what part of a shared type's score comes back to it, and
+#: the part of an equal pair's settled score from which a pair is a rename.
+BY_NAME, BY_CONTENT, BY_TYPE, RENAMED = 0.1, 0.9, 0.1, 0.4
 #: Below this many different values, agreement counts only record by record.
 FEW_VALUES = 24
 ROUNDS = 60
+#: Columns a unified table may have: payloads whose keys are data would make more.
+MOST_FIELDS = 5_000
 EPSILON = 1e-4
 
 CHANGES = "source_dataset_id string, file_seq int, change_kind string, field_name string, new_name string"
 
 
-def json_fields(records: DataFrame, keep: list[str], payload: str = "payload") -> DataFrame:
-    """One row per top-level field of each readable record: ``keep``, field, kind, text.
+def json_fields(records: DataFrame, keep: list[str], payload: str = "payload", with_value: bool = False) -> DataFrame:
+    """One row per top-level field of each readable record: ``keep``, field, kind, text (and the variant ``value``).
 
     kind is NULL for a JSON null. Unreadable payloads (broken, NULL, no object,
     or with a repeated name) give no rows.
@@ -51,7 +59,7 @@ def json_fields(records: DataFrame, keep: list[str], payload: str = "payload") -
         .when(shape.startswith("OBJECT"), "object")
         .otherwise("number")
     )
-    return fields.select(*keep, F.col("key").alias("field"), kind.alias("kind"), F.try_variant_get("value", "$", "string").alias("text"))
+    return fields.select(*keep, F.col("key").alias("field"), kind.alias("kind"), F.try_variant_get("value", "$", "string").alias("text"), *(["value"] if with_value else []))
 
 
 def _tokens(text: Column) -> Column:
@@ -63,28 +71,30 @@ def _tokens(text: Column) -> Column:
 def profiles(records: DataFrame) -> DataFrame:
     """One row per field of a file: type counts, its type, and two sketches of its values.
 
-    Records are profiled as (source_dataset_id, file_seq, payload, rec_id); other
+    Records are profiled as (source_dataset_id, file_seq, payload); other
     columns are ignored. ``held`` is the type, or the last one known where all
-    values are null. ``seen`` holds minima of hashed values, ``placed`` those of
+    values are null; ``shape`` is the type of all values together, nested ones included. ``seen`` holds minima of hashed values, ``placed`` those of
     values together with the record they stand in; both merge by minimum, so
     Spark aggregates them before the shuffle and a file of any size costs
     2 x SKETCH numbers.
     """
     file = ["source_dataset_id", "file_seq"]
-    fields = json_fields(records.select(*file, "rec_id", "payload"), [*file, "rec_id"])
-    # A record comes again with most of its values: the least hash of its longer texts identifies it.
-    anchor = F.min(F.when((F.col("kind") == "string") & (F.length("text") >= 6), F.xxhash64("text"))).over(W.partitionBy(*file, "rec_id"))
-    rows = fields.withColumn("tokens", _tokens(F.col("text"))).withColumn("anchor", anchor)
+    # A record comes again with most of its values: the least hash of its longer values identifies it.
+    values = F.map_values(F.from_json("payload", "map<string,string>"))
+    long = F.filter(values, lambda v: (F.length(v) >= 6) & ~v.rlike(r"^[\[{]"))
+    anchor = F.array_min(F.transform(long, lambda v: F.xxhash64(v))).alias("anchor")
+    fields = json_fields(records.select(*file, "payload", anchor), [*file, "anchor"], with_value=True)
+    rows = fields.withColumn("tokens", _tokens(F.col("text")))
     hashed = lambda i, *also: F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(i), *also)))
     counts = [F.count_if(F.col("kind") == k).alias(k) for k in KINDS]
     seen = [F.min(hashed(i)).alias(f"s{i}") for i in range(SKETCH)]
     placed = [F.min(F.when(F.col("anchor").isNotNull(), hashed(i, F.col("anchor")))).alias(f"p{i}") for i in range(SKETCH)]
-    per_field = rows.groupBy(*file, "field").agg(*counts, F.approx_count_distinct("text").alias("values"), *seen, *placed)
+    per_field = rows.groupBy(*file, "field").agg(*counts, F.approx_count_distinct("text").alias("values"), F.schema_of_variant_agg("value").alias("shape"), *seen, *placed)
     best = F.greatest(*KINDS)
     kind = F.when(best > 0, F.coalesce(*(F.when(F.col(k) == best, F.lit(k)) for k in KINDS)))
     history = W.partitionBy("source_dataset_id", "field").orderBy("file_seq")
     return per_field.select(
-        *file, "field", kind.alias("kind"), "values",
+        *file, "field", kind.alias("kind"), "values", "shape",
         F.last(kind, ignorenulls=True).over(history).alias("held"),
         F.array(*(f"s{i}" for i in range(SKETCH))).alias("seen"),
         F.array(*(f"p{i}" for i in range(SKETCH))).alias("placed"),
@@ -111,49 +121,102 @@ def _content(a, b) -> float:
     return max(_agreement(a.placed, b.placed), _agreement(a.seen, b.seen) if min(a.values, b.values) >= FEW_VALUES else 0.0)
 
 
+def nested(shape: str | None) -> tuple[str, list[tuple[str, str]]]:
+    """(kind, [(name, shape)] of what is nested) of a type as Spark writes it; an array's element is named '[]'."""
+    text = (shape or "").strip()
+    head, _, rest = text.partition("<")
+    inner = rest[: rest.rindex(">")] if ">" in rest else ""
+    kind = {"ARRAY": "array", "OBJECT": "object", "STRUCT": "object", "STRING": "string", "BOOLEAN": "boolean", "VOID": "null", "": "null", "VARIANT": "mixed"}.get(head, "number")
+    if kind == "array":
+        return kind, [("[]", inner)]
+    parts, depth, quoted, start = [], 0, False, 0
+    for i, ch in enumerate(inner + ","):
+        if ch == "`":
+            quoted = not quoted
+        elif not quoted:
+            depth += (ch in "<(") - (ch in ">)")
+            if ch == "," and depth == 0:
+                parts.append(inner[start:i])
+                start = i + 1
+    named = [p.strip() for p in parts if p.strip()] if kind == "object" else []
+    cut = [p.rindex("`:") + 1 if p.startswith("`") and "`:" in p else p.index(":") for p in named if ":" in p]
+    return kind, [(p[:c].strip("`"), p[c + 1 :]) for p, c in zip((p for p in named if ":" in p), cut, strict=True)]
+
+
+ROOT, EQUAL = (), ("equal",)
+
+
+def _graph(fields: dict) -> dict[tuple, tuple[str, list[tuple]]]:
+    """path -> (kind, paths nested in it) of a record, its fields and all that is nested in them."""
+    out: dict[tuple, tuple[str, list[tuple]]] = {ROOT: ("record", [(f,) for f in fields])}
+    waiting = [((f,), getattr(p, "shape", None), p.held) for f, p in fields.items()]
+    while waiting:
+        path, shape, held = waiting.pop()
+        kind, inner = nested(shape)
+        out[path] = (held or kind, [(*path, name) for name, _ in inner])
+        waiting += [((*path, name), s, None) for name, s in inner]
+    return out
+
+
 def flood(old: dict, new: dict) -> dict[tuple[str, str], float]:
-    """Settled scores of all pairs (old field, new field), 0 to 1.
+    """Settled scores of all pairs (old field, new field), as parts of that of a pair equal in name and content without neighbours.
 
-    Nodes are the fields, their types and the record that nests them; edges say
-    'has field' and 'has type'. Scores start from names and contents.
+    Nodes of the pairwise graph are pairs of records, fields, nested parts (of
+    paired parents) and types; edges say 'has' and 'is of type', both ways. A
+    node hands its score on in equal parts to all its neighbours of one label. Scores start
+    from names and contents; nested parts from names, types from equality.
     """
-    start = {("f", a, b): 0.3 * _alike(a, b) + 0.7 * _content(old[a], new[b]) for a in old for b in new}
-    kinds = {(p.held, q.held) for p in old.values() for q in new.values()}
-    start |= {("t", x, y): float(x == y) for x, y in kinds} | {("r", "", ""): 1.0}
-    edges: dict[tuple, list[tuple[tuple, float]]] = defaultdict(list)
-    fan = defaultdict(int)
-    for a, p in old.items():
-        for b, q in new.items():
-            fan["t", p.held, q.held] += 1
-    for a, p in old.items():
-        for b, q in new.items():
-            pair, kind = ("f", a, b), ("t", p.held, q.held)
-            edges[kind].append((pair, 1.0))
-            edges[pair].append((kind, 1.0 / fan[kind]))
-            edges["r", "", ""].append((pair, 1.0))
-            edges[pair].append((("r", "", ""), 1.0 / (len(old) * len(new))))
+    a, b = _graph(old), _graph(new)
+    start: dict[tuple, float] = {(ROOT, ROOT): 1.0, EQUAL: BY_NAME + BY_CONTENT}
+    flows: dict[tuple, list[tuple[tuple, float]]] = defaultdict(list)  # node -> [(from, share)]
+    of_kind: dict[tuple, list[tuple]] = defaultdict(list)
+    waiting = [(ROOT, ROOT)]
+    while waiting:
+        x, y = waiting.pop()
+        kinds = ("type", a[x][0], b[y][0])
+        start.setdefault(kinds, float(kinds[1] == kinds[2]))
+        of_kind[kinds].append((x, y))
+        children = [(u, v) for u in a[x][1] for v in b[y][1]]
+        for u, v in children:
+            if len(u) == 1:
+                start[u, v] = BY_NAME * _alike(u[0], v[0]) + BY_CONTENT * _same(old[u[0]], new[v[0]])
+            else:
+                start[u, v] = BY_NAME * _alike(u[-1], v[-1])
+            flows[u, v].append(((x, y), 1.0 / len(children)))
+            flows[x, y].append(((u, v), 1.0 / len(children) if x == ROOT else BY_NAME))
+        waiting += children
+    for kinds, pairs in of_kind.items():
+        for pair in pairs:
+            flows[kinds].append((pair, 1.0 / len(pairs)))
+            flows[pair].append((kinds, BY_TYPE / len(pairs)))
     score = dict(start)
     for _ in range(ROUNDS):
-        nxt = {n: start[n] + score[n] + sum(w * score[m] for m, w in edges[n]) if n[0] == "f" else start[n] + score[n] + sum(score[m] for m, _ in edges[n]) / max(1, len(edges[n])) for n in score}
+        held = {n: start[n] + score[n] for n in score}
+        nxt = {n: held[n] + sum(share * held[m] for m, share in flows[n]) for n in score}
         top = max(nxt.values()) or 1.0
         nxt = {n: v / top for n, v in nxt.items()}
         done = max(abs(nxt[n] - score[n]) for n in nxt) < EPSILON
         score = nxt
         if done:
             break
-    return {(a, b): v for (kind, a, b), v in score.items() if kind == "f"}
+    return {(x, y): score[(x,), (y,)] / score[EQUAL] for x in old for y in new}
+
+
+def _same(p, q) -> float:
+    """How far two fields' contents speak for one field: 0.5 at the share from which they may be one, at most 1."""
+    least = SAME_CONTENT if max(p.values, q.values) > FLAG_VALUES else SAME_CONTENT_OF_FLAGS
+    return min(1.0, _content(p, q) / (2 * least))
 
 
 def renames(old: dict, new: dict) -> dict[str, str]:
-    """Vanished fields whose contents go on under a new name, one to one."""
+    """Vanished fields that go on under a new name, one to one: pairs that are each other's best by the settled scores, from RENAMED on."""
     gone, come = [a for a in old if a not in new], [b for b in new if b not in old]
     if not gone or not come:
         return {}
     score = flood(old, new)
     out: dict[str, str] = {}
     for a, b in sorted(((a, b) for a in gone for b in come), key=lambda p: (-score[p], p)):
-        least = SAME_CONTENT if max(old[a].values, new[b].values) > FLAG_VALUES else SAME_CONTENT_OF_FLAGS
-        if a not in out and b not in out.values() and _content(old[a], new[b]) >= least:
+        if a not in out and b not in out.values() and score[a, b] >= RENAMED:
             out[a] = b
     return out
 
@@ -226,17 +289,18 @@ def unified_records(records: DataFrame, changes: DataFrame | None = None) -> Dat
     BOOLEAN, others STRING (arrays and objects as JSON text); one with any value
     that this type wouldn't keep (other text, leading zeros, over 15 digits) is STRING
     too. Blank text is NULL in a typed column. A name that is taken, case ignored, gets an
-    underscore. The columns' names are collected: their
-    number is that of the fields, not of the records. Unreadable records are
+    underscore. The columns' names are collected; more than MOST_FIELDS of them are a ValueError. Unreadable records are
     left out, a record without fields is a row of NULLs; source columns come first:
     rec_id, source_dataset_id, file_seq.
     """
-    changes = schema_changes(records) if changes is None else changes
+    families = settled(field_families(schema_changes(records) if changes is None else changes))
     keys = ["rec_id", "source_dataset_id", "file_seq"]
     fields = json_fields(records.select(*keys, "payload"), keys)
-    named = fields.join(field_families(changes), ["source_dataset_id", "field"], "left").withColumn("name", F.coalesce("family", "field"))
+    named = fields.join(families, ["source_dataset_id", "field"], "left").withColumn("name", F.coalesce("family", "field"))
     lost = {k: F.count_if(F.col("kind").isNotNull() & (F.trim("text") != "") & ~fits).alias(f"not_{k}") for k, fits in _fits().items()}
-    found = named.groupBy("name").agg(F.mode("kind").alias("kind"), *lost.values()).orderBy("name").collect()
+    found = named.groupBy("name").agg(F.mode("kind").alias("kind"), *lost.values()).orderBy("name").limit(MOST_FIELDS + 1).collect()
+    if len(found) > MOST_FIELDS:
+        raise ValueError(f"more than {MOST_FIELDS} different fields: these names are data, not a schema")
     types = {r["name"]: "string" if r["kind"] in lost and r[f"not_{r['kind']}"] else r["kind"] for r in found}
     wide = named.groupBy(*keys).pivot("name", list(types)).agg(F.first("text", ignorenulls=True)) if types else named.select(*keys).distinct()
     # By position, as names of JSON fields may differ in case only.

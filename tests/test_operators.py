@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import constants as C
@@ -201,3 +202,40 @@ def test_unified_records_keep_every_value(spark):
     wide = drift.unified_records(payloads(spark, {1: texts}))
     assert dict(wide.dtypes) == {"rec_id": "bigint", "source_dataset_id": "string", "file_seq": "int", "b": "string", "m": "double", "n": "string", "z": "string"}
     assert rows(wide.select("rec_id", "n", "z", "b", "m")) == [(0, "1", "5", "true", 2.0), (1, "2", "6", "false", 3.0), (2, "unknown", "007", "unclear", None), (3, None, None, None, None)]
+
+
+class Field:
+    """A field's profile: type, nested type, sketch."""
+
+    def __init__(self, held, values, shape="STRING"):
+        self.held = self.kind = held
+        self.shape, self.values = shape, len(values)
+        self.seen = self.placed = [v * 1.0 for v in values]
+
+
+def test_renames_come_from_the_settled_scores(monkeypatch):
+    ids = list(range(32))
+    old = {"id": Field("number", ids, "BIGINT"), "phone": Field("string", [i + 100 for i in ids])}
+    new = {"id": Field("number", ids, "BIGINT"), "tel": Field("string", [i + 100 if i < 8 else -1 for i in ids]), "phone_2": Field("string", [i + 900 for i in ids])}
+    assert drift.renames(old, new) == {"phone": "tel"}
+    monkeypatch.setattr(drift, "flood", lambda a, b: {(x, y): 0.0 for x in a for y in b})
+    assert drift.renames(old, new) == {}
+
+
+def test_flooding_uses_nesting_and_types():
+    some = [i if i < 5 else -1 for i in range(32)]
+    old = {"id": Field("number", list(range(32)), "BIGINT"), "a": Field("object", range(32), "OBJECT<code: STRING, name: STRING>")}
+    new = {"id": Field("number", list(range(32)), "BIGINT"), "b": Field("object", some, "OBJECT<code: BIGINT, name: STRING>"), "c": Field("object", some, "OBJECT<x: STRING, y: STRING>"), "d": Field("string", some)}
+    score = drift.flood(old, new)
+    assert score["a", "b"] > score["a", "c"] > score["a", "d"] and score["id", "id"] > 1.0
+
+
+def test_nested_types():
+    assert drift.nested("OBJECT<`a: b`: ARRAY<OBJECT<x: DECIMAL(3,1), y: STRING>>, c: BIGINT>") == ("object", [("a: b", " ARRAY<OBJECT<x: DECIMAL(3,1), y: STRING>>"), ("c", " BIGINT")])
+    assert drift.nested("ARRAY<STRING>") == ("array", [("[]", "STRING")]) and drift.nested(None) == ("null", []) and drift.nested("DECIMAL(3,1)") == ("number", [])
+
+
+def test_too_many_fields_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(drift, "MOST_FIELDS", 3)
+    with pytest.raises(ValueError, match="names are data"):
+        drift.unified_records(payloads(spark, {1: ['{"a": 1, "b": 2, "c": 3, "d": 4}']}))
