@@ -1,4 +1,4 @@
-"""Commands: normalize, build-master, sample, enrich, export, enrich-table, all, status."""
+"""Commands: download, normalize, build-master, sample, enrich, export, enrich-table, all, status."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import argparse
 from .plans import table_flow
 from .plans.pipeline import Store
 from .session import session, ship
+from .sources.fetch import download
 
 
 def parser() -> argparse.ArgumentParser:
@@ -17,8 +18,12 @@ def parser() -> argparse.ArgumentParser:
     add = lambda name: sub.add_parser(name)
     for name in ("normalize", "all"):
         add(name).add_argument("--sources", nargs="*")
-    for name in ("build-master", "status"):
+    for name in ("build-master", "status", "categorize"):
         add(name)
+    d = add("download")
+    d.add_argument("--transport", required=True, help="module:function that streams a URL's bytes")
+    d.add_argument("--file", nargs=3, action="append", metavar=("SOURCE", "URL", "NAME"), default=[])
+    d.add_argument("--force", action="store_true")
     for name in ("sample", "enrich", "export", "enrich-table"):
         add(name)
     for name in ("normalize", "build-master"):
@@ -31,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     e = sub.choices["enrich"]
     e.add_argument("--category")
     e.add_argument("--retry-failed", action="store_true")
+    e.add_argument("--parts", type=int, default=1, help="how often the work is saved")
     for opt in ("--start", "--end", "--limit"):
         e.add_argument(opt, type=int, default=0)
     t = sub.choices["enrich-table"]
@@ -50,15 +56,21 @@ def main(argv: list[str] | None = None) -> int:
     store = Store(spark, a.root)
     today = a.now[:10]
     tables = lambda: (spark.read.parquet(a.search_results), spark.read.parquet(a.pages))
+    if a.command == "download":
+        for n, (source, url, name) in enumerate(a.file):
+            print(source, download(spark, url, store.path("raw"), source, today, name, a.transport, a.force, required=n == 0))
     if a.command in ("normalize", "all"):
         for source, outcome in store.normalize(today, a.sources, getattr(a, "force", False)).items():
             print(source, outcome)
     if a.command in ("build-master", "all"):
         print("companies", store.master(force=a.command == "all" or a.force).count())
+    if a.command == "categorize":
+        # Categories are made with the master, in one plan; this makes both anew.
+        store.master(force=True).groupBy("category").count().show(truncate=False)
     if a.command in ("sample", "all"):
         print("candidates", store.sample(a.multiplier).count())
     if a.command == "enrich" or a.command == "all" and a.search_results:
-        options = {k: getattr(a, k) for k in ("category", "start", "end", "limit", "retry_failed")} if a.command == "enrich" else {}
+        options = {k: getattr(a, k) for k in ("category", "start", "end", "limit", "retry_failed", "parts")} if a.command == "enrich" else {}
         print("state", store.enrich(*tables(), a.now, **options).count())
     if a.command in ("export", "all"):
         store.export(a.out)

@@ -32,6 +32,8 @@ class Lists:
 
 
 DEFAULT = Lists()
+#: Marks that no local part begins or ends with.
+_OUTER_MARKS = r"^[.\-_%+]|[.\-_%+]$"
 
 
 def _text(c: str | Column) -> Column:
@@ -120,6 +122,7 @@ def extract_emails(c: str | Column, lists: Lists = DEFAULT) -> Column:
             & ~domain.rlike(r"\.(png|jpg|gif|pdf|webp)$")
             & ~low.contains("@2x")
             & ~low.contains("@3x")
+            & ~local_part(low).rlike(_OUTER_MARKS)
         )
 
     return F.filter(found, good)
@@ -136,7 +139,7 @@ def valid_email(c: str | Column, lists: Lists = DEFAULT) -> Column:
         & ~domain.rlike(r"\.(png|jpg|gif|pdf|zip|webp)$")
         & (F.length(e) <= 80)
         & (F.length(local) >= 1)
-        & ~local.rlike(r"^[.\-_%+]|[.\-_%+]$")
+        & ~local.rlike(_OUTER_MARKS)
     )
 
 

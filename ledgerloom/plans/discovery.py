@@ -6,6 +6,8 @@ fill. Order keys make 'first seen' and the caps deterministic.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import contact
 from ..functions.contact import Lists
-from ..functions.text import strip
+from ..functions.text import filled, strip
 from ..sources.html import contact_links
 
 #: Results per query and engine that the quick flow looks at.
@@ -27,6 +29,11 @@ def usable_homepage(c: str = "homepage") -> Column:
     return F.when(~h.isin(C.UNUSABLE_HOMEPAGES) & h.startswith("http"), h)
 
 
+def search_address(road: str = "road_address", lot: str = "lot_address") -> Column:
+    """The address to search a company by: its road address, else its lot address, else ''."""
+    return F.coalesce(F.when(filled(road), F.col(road)), F.when(filled(lot), F.col(lot)), F.lit(""))
+
+
 def search_queries(companies: DataFrame, with_site: bool = True) -> DataFrame:
     """company_key, query_no, query: three queries per company, and two within its homepage's site."""
     name = F.coalesce("company_name", F.lit(""))
@@ -73,8 +80,8 @@ def discover(companies: DataFrame, search_results: DataFrame, pages: DataFrame,
     Phases: the homepage and its contact pages; the snippets of all results; the
     first results' pages. Each address counts where it is first seen; page visits
     stop once ``most_emails`` different addresses are known, but a company whose
-    snippets already reach that still has the first hit of its first visit
-    examined. ``classifier(company, email, snippet) -> Column`` decides where
+    snippets already reach that still has its first page visited, and the first
+    hit there examined. ``classifier(company, email, snippet) -> Column`` decides where
     the rules can't; without it such addresses are accepted. Only valid
     addresses come out, but invalid ones use up the cap.
     """
@@ -86,14 +93,16 @@ def discover(companies: DataFrame, search_results: DataFrame, pages: DataFrame,
     two = snippets.select("company_key", "email", F.col("url").alias("source_url"), F.concat("engine", F.lit("_snippet")).alias("method"), F.col("snippet").alias("context"), F.struct(F.lit(2).alias("phase"), F.col("place").alias("a"), F.lit(0).alias("b"), F.col("pos").alias("c")).alias("order"))
     binary = F.lower("url").rlike("(" + "|".join(s.replace(".", r"\.") for s in C.BINARY_SUFFIXES) + ")$")
     visited = found.where(F.col("place") <= visits).where(~binary).select("company_key", "url", "place")
+    firsts = visited.groupBy("company_key").agg(F.min("place").alias("_first_visit"))
     three = page_emails(visited, pages, lists).select("company_key", "email", "source_url", F.lit("homepage").alias("method"), F.concat(F.lit("Source URL: "), "source_url").alias("context"), F.struct(F.lit(3).alias("phase"), F.col("place").alias("a"), F.col("page_no").alias("b"), F.col("pos").alias("c")).alias("order"))
-    hits = zero.unionByName(two).unionByName(three)
+    hits = zero.unionByName(two).unionByName(three).join(firsts, "company_key", "left")
     per = W.partitionBy("company_key").orderBy("order")
     hits = hits.withColumn("is_new", F.row_number().over(W.partitionBy("company_key", "email").orderBy("order")) == 1)
     before = F.sum(F.col("is_new").cast("int")).over(per.rowsBetween(W.unboundedPreceding, -1))
     visit_no = F.sum((F.col("order.phase") == 3).cast("int")).over(per.rowsBetween(W.unboundedPreceding, W.currentRow))
     hits = hits.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn("_visit", visit_no)
-    kept = hits.where("is_new").where((F.col("order.phase") < 3) | (F.col("_before") < most_emails) | (F.col("_visit") == 1))
+    on_first = (F.col("_visit") == 1) & (F.col("order.a") == F.col("_first_visit"))
+    kept = hits.where("is_new").where((F.col("order.phase") < 3) | (F.col("_before") < most_emails) | on_first)
     kept = kept.join(names, "company_key")
     verdict = None if classifier is None else classifier(F.col("company_name"), F.col("email"), F.col("context"))
     accepted = contact.accepted_email("email", "context", verdict, lists)
@@ -101,6 +110,22 @@ def discover(companies: DataFrame, search_results: DataFrame, pages: DataFrame,
     return out.select(*HIT, F.row_number().over(per).alias("place"))
 
 
+def failures(companies: DataFrame, search_results: DataFrame, pages: DataFrame) -> DataFrame:
+    """company_key, error_message of companies a search or homepage visit of which failed.
+
+    Sources report a failure as a row with ``error_message`` set; tables without that column have none.
+    """
+    none = companies.select("company_key", F.lit("").alias("error_message")).limit(0)
+    out = [none]
+    if "error_message" in search_results.columns:
+        failed = search_results.where("error_message is not null").select("query", "error_message")
+        out.append(search_queries(companies).join(failed, "query").select("company_key", "error_message"))
+    if "error_message" in pages.columns:
+        failed = pages.where("error_message is not null").select("url", "error_message")
+        out.append(companies.select("company_key", usable_homepage().alias("url")).join(failed, "url").select("company_key", "error_message"))
+    return reduce(DataFrame.unionByName, out).groupBy("company_key").agg(F.min("error_message").alias("error_message"))
+
+
 def rendered_method(method: str = "method", flagged: str = "flagged") -> Column:
     """The method as reports show it: flagged addresses carry a prefix."""
     return F.when(F.coalesce(F.col(flagged), F.lit(False)), F.concat(F.lit(C.FLAG_PREFIX), F.col(method))).otherwise(F.col(method))

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ..operators.category import categorize
 from ..operators.master import build_master, with_ordinal
 from ..operators.sampling import sample_candidates
+from ..session import forget, settled
 from ..sources import readers
 from ..sources.xlsx import write_workbook
 from ..streaming import state as S
-from .discovery import discover, rendered_method
+from .discovery import discover, failures, rendered_method
 from .report import report, status_report
 
 
@@ -47,13 +48,16 @@ class Store:
         return self.read("candidates")
 
     def attempts(self) -> DataFrame:
-        schema = "company_key string, company_name string, email string, source_url string, method string, status string, error_message string, checked_at string, seq bigint"
+        schema = "company_key string, company_name string, email string, source_url string, method string, status string, error_message string, checked_at string, seq bigint, merged bigint"
         if not self.exists("attempts"):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(self.path("attempts"))
 
-    def enrich(self, search_results: DataFrame, pages: DataFrame, checked_at: str, category: str | None = None, start: int = 0, end: int = 0, limit: int = 0, retry_failed: bool = False, **discovery) -> DataFrame:
-        """Search the candidates that are still to be tried and append the outcomes; what is done isn't done again."""
+    def enrich(self, search_results: DataFrame, pages: DataFrame, checked_at: str, category: str | None = None, start: int = 0, end: int = 0, limit: int = 0, retry_failed: bool = False, parts: int = 1, **discovery) -> DataFrame:
+        """Search the candidates that are still to be tried and append the outcomes; what is done isn't done again.
+
+        The work is done and saved in ``parts``: after a failure a new run goes on with the companies not yet saved.
+        """
         from ..operators.sampling import slice_rows
 
         candidates = self.read("candidates")
@@ -63,11 +67,22 @@ class Store:
             candidates = slice_rows(candidates, [F.asc("company_key")], start, end, limit)
         log = self.attempts()
         todo = S.worklist(candidates, S.state_view(log), retry_failed)
-        hits = discover(todo, search_results, pages, **discovery).withColumn("method", rendered_method())
+        todo = settled(todo)
         last = log.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("last")).first()["last"]
-        rows = S.outcome_rows(todo, hits, checked_at)
-        rows = with_ordinal(rows, "_n").withColumn("seq", F.col("_n") + F.lit(last + 1)).drop("_n")
-        rows.write.mode("append").parquet(f"{self.path('attempts')}/run={checked_at.replace(':', '').replace('-', '')}")
+        save = S.append_batches(f"{self.path('attempts')}/run={checked_at.replace(':', '').replace('-', '')}")
+        for part in range(parts):
+            own = todo.where(F.pmod(F.xxhash64("company_key"), F.lit(parts)) == part) if parts > 1 else todo
+            hits = discover(own, search_results, pages, **discovery).withColumn("method", rendered_method())
+            rows = S.outcome_rows(own, hits, checked_at, failures(own, search_results, pages))
+            save(with_ordinal(rows, "_n").withColumn("seq", F.col("_n") + F.lit(last + 1 + part * 2**52)).drop("_n"), part)
+        forget(self.spark)
+        return S.state_view(self.attempts())
+
+    def compact(self) -> DataFrame:
+        """Replace the log by one row per pair; views, retries and work lists stay the same. For times when nothing is appended."""
+        target, aside = self.path("attempts"), self.path("attempts_compacted")
+        S.compacted(self.attempts()).write.mode("overwrite").parquet(f"{aside}/run=0")
+        readers.replace_folder(self.spark, aside, target)
         return S.state_view(self.attempts())
 
     def export(self, path: str, quotas: Mapping[str, int] | None = None) -> dict[str, DataFrame]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -52,7 +52,7 @@ def progress(state: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def report(master: DataFrame, state: DataFrame, quotas: Mapping[str, int] | None = None, max_picks: int = C.MAX_PICKS) -> dict[str, DataFrame]:
-    """The report's sheets by name: one per category, all picks, all collected addresses, and three summaries.
+    """The report's sheets by name: one per category, all picks, all collected addresses, and the summary.
 
     Always with all columns, also without any collected address.
     """
@@ -64,12 +64,28 @@ def report(master: DataFrame, state: DataFrame, quotas: Mapping[str, int] | None
     out = {c[:31]: sheet(picked.where(F.col("category") == c)) for c in (quotas or C.QUOTAS)}
     out["picks"] = sheet(picked)
     out["detail"] = sheet(with_master(master, collected))
-    out["summary"] = quota_summary(master, picks, quotas)
-    out["hit_rate"] = S.hit_rates(state)
-    out["totals"] = picks.agg(F.count("*").alias("pick_rows"), F.count_distinct("company_key").alias("pick_companies"), F.count_distinct("email").alias("emails"))
+    out["summary"] = summary(master, state, picks, quotas)
     return out
 
 
+def percent_text(c: str | Column) -> Column:
+    """A rate as reports show it: one decimal and a percent sign. Compare the number, never this."""
+    return F.format_string("%.1f%%", c if isinstance(c, Column) else F.col(c))
+
+
+def summary(master: DataFrame, state: DataFrame, picks: DataFrame, quotas: Mapping[str, int] | None = None) -> DataFrame:
+    """The summary as one table: a row per category in the order of the quotas, the hit rate, the totals of the picks.
+
+    The three parts have different columns; each leaves the others' NULL.
+    ``part`` and ``place`` give the order.
+    """
+    order = F.create_map(*(F.lit(x) for k, c in enumerate(quotas or C.QUOTAS, 1) for x in (c, k)))
+    per_category = quota_summary(master, picks, quotas).select(F.lit(1).alias("part"), F.try_element_at(order, F.col("category")).alias("place"), "category", "quota", "pick_rows", "companies", "delta")
+    rates = S.hit_rates(state).select(F.lit(2).alias("part"), F.lit(1).alias("place"), F.col("status_sum").alias("processed"), "found", F.col("rate_of_statuses").alias("hit_rate"), percent_text("rate_of_statuses").alias("hit_rate_text"))
+    totals = picks.agg(F.count("*").alias("pick_rows"), F.count_distinct("company_key").alias("pick_companies"), F.count_distinct("email").alias("emails")).select(F.lit(3).alias("part"), F.lit(1).alias("place"), "*")
+    return per_category.unionByName(rates, allowMissingColumns=True).unionByName(totals, allowMissingColumns=True).orderBy("part", "place")
+
+
 def status_report(master: DataFrame, candidates: DataFrame, state: DataFrame) -> dict[str, DataFrame]:
     return {
         "categories": master.groupBy("category").agg(F.count("*").alias("companies")).orderBy(F.desc("companies"), "category"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.text import normalized_name, strip
-from ..operators.master import with_ordinal
+from ..operators.master import numbered, with_ordinal
 from ..sources.readers import read_csv
 from ..sources.spec import detect_column
 from ..sources.xlsx import read_xlsx
@@ -17,6 +17,8 @@ from .discovery import discover, first_hit, rendered_method
 
 #: What happened to a row of the user's table.
 NO_NAME, REUSED, REUSED_OTHER, KNOWN_EMPTY, FAILED, NOT_FOUND, COLLECTED = "no_name", "reused", "reused_other", "known_empty", "failed", "not_found", "collected"
+#: The column that numbers the input's rows from 1.
+NUMBER = "No."
 
 
 @dataclass(frozen=True)
@@ -59,18 +61,20 @@ def existing_results(rows: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def enrich_table(df: DataFrame, state: DataFrame, search_results: DataFrame, pages: DataFrame, options: Options = Options(), **discovery) -> DataFrame:
-    """The user's rows in order with email, source_url, method, collected_on and outcome; a row with several addresses comes several times.
+    """The user's rows, numbered from 1, with email, source_url, method, collected_on and outcome; a row with several addresses comes several times.
 
     No row is lost: rows without a name, and rows whose search finds nothing,
     come out with their outcome (unless ``skip_existing`` leaves out known and
     nameless rows). An empty table is a ValueError, as is one without names.
     """
     where = columns_of(df)
-    ordered = df if "row_ordinal" in df.columns else with_ordinal(df)
+    if df.isEmpty():
+        raise ValueError("the table has no rows")
+    ordered = numbered(df if "row_ordinal" in df.columns else with_ordinal(df), [F.asc("row_ordinal")], NUMBER)
     at = lambda c: strip(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) if c else F.lit("")
     rows = ordered.withColumns({"_name": at(where["name"]), "_home": at(where["homepage"])})
     if options.limit:
-        rows = rows.orderBy("row_ordinal").limit(options.limit)
+        rows = rows.where(F.col(f"`{NUMBER}`") <= options.limit)
     known = existing_results(rows, state).withColumn("is_known", F.col("known_status").isNotNull())
     if options.force:
         known = rows.withColumns({c: F.lit(None).cast("string") for c in ("known_email", "known_url", "known_method", "known_status")}).withColumn("is_known", F.lit(False))
@@ -94,16 +98,16 @@ def enrich_table(df: DataFrame, state: DataFrame, search_results: DataFrame, pag
         .otherwise(COLLECTED)
     )
     return joined.select(
-        "row_ordinal", *(F.col(f"`{c}`") for c in df.columns if c != "row_ordinal"),
+        F.col(f"`{NUMBER}`"), *(F.col(f"`{c}`") for c in df.columns if c not in ("row_ordinal", NUMBER)),
         F.coalesce("known_email", "new_email", F.lit("")).alias("email"), F.coalesce("known_url", "new_url", F.lit("")).alias("source_url"),
         F.coalesce("known_method", "new_method", F.lit("")).alias("method"), F.lit(options.collected_on).alias("collected_on"), outcome.alias("outcome"),
-    ).orderBy("row_ordinal", "email")
+    ).orderBy(f"`{NUMBER}`", "email")
 
 
 def table_summary(enriched: DataFrame) -> DataFrame:
     """rows_out, new, reused, empty and the rest of the outcomes, counted."""
     n = lambda *names: F.count_if(F.col("outcome").isin(*names))
     return enriched.agg(
-        F.count_distinct("row_ordinal").alias("input_rows"), n(COLLECTED, NOT_FOUND).alias("searched"), n(REUSED, REUSED_OTHER, KNOWN_EMPTY, FAILED).alias("known"),
+        F.count_distinct(f"`{NUMBER}`").alias("input_rows"), n(COLLECTED, NOT_FOUND).alias("searched"), n(REUSED, REUSED_OTHER, KNOWN_EMPTY, FAILED).alias("known"),
         n(NO_NAME).alias("nameless"), n(COLLECTED, REUSED).alias("with_email"), n(NOT_FOUND).alias("not_found"), n(FAILED).alias("failed"),
     )

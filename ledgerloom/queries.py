@@ -404,7 +404,7 @@ def rule_verdict(spark, d):
 _FOUND = f"""found AS (SELECT doc_id, regexp_replace(trim(e), '[.,;:''"]+$', '') AS email FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{C.EMAIL_PATTERN}')) AS e FROM documents WHERE text IS NOT NULL) t),
 parted AS (SELECT DISTINCT doc_id, email, split_part(lower(email), '@', 1) AS l, substr(lower(email), strpos(email, '@') + 1) AS dm FROM found),
 good AS (SELECT doc_id, email, dm FROM parted WHERE contains(dm, '.') AND NOT {_blocked('dm')} AND l NOT IN ({_in(C.BLOCKED_LOCALS)})
-  AND NOT regexp_matches(dm, '\\.(png|jpg|gif|pdf|webp)$') AND NOT contains(lower(email), '@2x') AND NOT contains(lower(email), '@3x'))"""
+  AND NOT regexp_matches(dm, '\\.(png|jpg|gif|pdf|webp)$') AND NOT contains(lower(email), '@2x') AND NOT contains(lower(email), '@3x') AND NOT regexp_matches(l, '^[.\\-_%+]|[.\\-_%+]$'))"""
 
 
 @query(f"WITH {_FOUND} SELECT doc_id, email FROM good")

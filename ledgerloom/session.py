@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_settled: dict[str, list[str]] = {}
 
 
 def session(master: str | None = None, **conf: str) -> SparkSession:
@@ -47,7 +48,7 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; where it is unset, one of our own."""
+    """The folder all executors share: spark.checkpoint.dir; where it is unset, one of our own in local mode, an error on a cluster."""
     conf = spark.sparkContext.getConf()
     named = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -55,7 +56,7 @@ def shared_folder(spark: SparkSession) -> str:
     if conf.get("spark.master", "").startswith("local"):
         folder = tempfile.mkdtemp(prefix="ledgerloom-shared-")
     else:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_ledgerloom"
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
@@ -64,7 +65,7 @@ def settled(df: DataFrame) -> DataFrame:
     """The same rows, written once to the shared folder and read from there.
 
     Cuts lineage, so that several uses don't compute the rows again, and a lost
-    executor doesn't either. The files are removed when the driver ends.
+    executor doesn't either. The files are removed by ``forget``, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
@@ -72,9 +73,18 @@ def settled(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(spark: SparkSession) -> None:
+    """Remove the settled tables so far, once what was computed from them has been written."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in _settled.pop(spark.sparkContext.applicationId, []):
+        where = hadoop.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @atexit.register
 def _forget() -> None:
     _shipped.clear()

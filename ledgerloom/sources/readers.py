@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import islice
+from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,38 +49,72 @@ def snapshot_file(spark: SparkSession, folder: str, prefer_json: bool = False) -
     return pick[-1] if pick else None
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """Per file of a path or pattern: its path, whether it is valid UTF-8, and its first line. Large files are read in blocks."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    return lines.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.min_by("value", F.when(F.col("at") == 0, F.col("n"))).alias("head")).orderBy("path")
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with a header (or several alike, by a pattern), all strings, missing values ''; UTF-8, or else the Korean code page.
+    """A CSV with a header (or several, by a pattern), all strings, missing values ''; each file UTF-8, or else the Korean code page.
 
-    The encoding is told from the bytes, in Spark. Korean files are decoded in
-    Arrow batches, one task per file; undecodable bytes become replacement
-    characters. A file without a header gives no columns.
+    Encoding and header are told file by file, in Spark; only paths and headers
+    are collected. Files with one header are read together, blocks of UTF-8 in
+    parallel, Korean files one per task in Arrow batches; undecodable bytes
+    become replacement characters. A column that a file lacks is ''. Files
+    without a header give no columns.
     """
-    files = spark.read.format("binaryFile").load(path)
-    is_utf8 = files.select(F.bool_and(F.is_valid_utf8(F.col("content").cast("string"))).alias("u")).first()["u"]
-    if is_utf8 is None or is_utf8:
-        df = spark.read.options(header=True, inferSchema=False, multiLine=True, escape='"').csv(path)
-        return df.toDF(*(c.lstrip("\ufeff") for c in df.columns)).na.fill("")
-    cells = files.select("content").mapInPandas(_decoded_rows, "is_header boolean, cells array<string>")
-    head = cells.where("is_header").first()
-    names = [n or f"_c{i}" for i, n in enumerate(head["cells"])] if head else []
-    return cells.where("not is_header").select(*(F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))
+    kinds: dict[str | None, list[str]] = {}
+    for f in _files(spark, path).collect():
+        if f["head"] is not None:
+            kinds.setdefault(f["head"].lstrip("\ufeff") if f["utf8"] else None, []).append(unquote(f["path"]))
+    parts = [_utf8(spark, paths) for head, paths in kinds.items() if head is not None]
+    parts += [_korean(spark, kinds[None])] if None in kinds else []
+    if not parts:
+        return spark.read.options(header=True, inferSchema=False, multiLine=True, escape='"').csv(path)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
+
+
+def _utf8(spark: SparkSession, paths: list[str]) -> DataFrame:
+    df = spark.read.options(header=True, inferSchema=False, multiLine=True, escape='"').csv(paths)
+    return df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
+
 
+def _korean(spark: SparkSession, paths: list[str]) -> DataFrame:
+    files = spark.read.format("binaryFile").load(paths)
+    heads = files.select("path", "content").mapInPandas(_decoded_headers, "path string, names array<string>").orderBy("path").collect()
+    names = list(dict.fromkeys(n for h in heads for n in h["names"]))
+    cells = files.select("content").mapInPandas(_decoded_rows, "cells map<string,string>")
+    return cells.select(*(F.coalesce(F.try_element_at("cells", F.lit(n)), F.lit("")).alias(n) for n in names))
 
-def _decoded_rows(batches):
-    import csv
-    import io
 
-    import pandas as pd
+def _decoded(content) -> Iterator[list[str]]:
+    return (r for r in csv.reader(io.StringIO(bytes(content).decode("cp949", "replace"), newline="")) if r)
 
+
+def _names(cells: list[str]) -> list[str]:
+    return [c or f"_c{i}" for i, c in enumerate(cells)]
+
+
+def _decoded_headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pd.DataFrame({"path": pdf["path"], "names": [_names(next(_decoded(c), [])) for c in pdf["content"]]})
+
+
+def _decoded_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for content in pdf["content"]:
-            rows = [r for r in csv.reader(io.StringIO(bytes(content).decode("cp949", "replace"))) if r]
-            yield pd.DataFrame({"is_header": [k == 0 for k in range(len(rows))], "cells": rows})
+            rows = _decoded(content)
+            names = _names(next(rows, []))
+            while chunk := [dict(zip(names, r, strict=False)) for r in islice(rows, 10_000)]:
+                yield pd.DataFrame({"cells": chunk})
 
 
 def land(df: DataFrame, raw_dir: str, source_id: str, day: str) -> str:
-    """Write fetched rows as a source's snapshot of a day, in as many CSV files as the table has partitions; its folder."""
+    """Write fetched rows as a source's snapshot of a day, in as many CSV files as the table has partitions; its folder.
+
+    The files are UTF-8 without a byte order mark, which only single-file readers need.
+    """
     folder = f"{raw_dir.rstrip('/')}/{source_id}/{day}"
     df.write.mode("overwrite").options(header=True, escape='"').csv(folder)
     return folder
@@ -98,15 +138,11 @@ def read_envelope(spark: SparkSession, path: str, fields: Iterable[str]) -> Data
 
 
 def read_parquets(spark: SparkSession, path: str) -> DataFrame:
-    """Normalized files in lexical order of their names, as one table with ``row_ordinal``."""
-    files = [f for f in _listed(spark, path) if f.endswith(".parquet")]
-    if not files:
+    """Normalized files as one table, in one scan; ``row_ordinal`` sorts as their names do, then as their rows."""
+    if not any(f.endswith(".parquet") for f in _listed(spark, path)):
         raise FileNotFoundError(f"no Parquet file in {path}")
-    out = None
-    for n, f in enumerate(files):
-        df = spark.read.parquet(f).withColumn("row_ordinal", F.monotonically_increasing_id() + F.lit(n * 2**50))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
+    df = spark.read.options(mergeSchema=True, recursiveFileLookup=True, pathGlobFilter="*.parquet").parquet(path)
+    return df.withColumn("row_ordinal", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, raw_dir: str, collected_on: str) -> DataFrame:
@@ -154,5 +190,16 @@ def write_partitioned(unified: DataFrame, path: str) -> None:
     unified.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_dataset_id").parquet(path)
 
 
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a written folder in the place of another; the old one is kept until the new one is complete."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, old = hadoop.Path(source), hadoop.Path(target)
+    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    aside = hadoop.Path(target.rstrip("/") + ".old")
+    if fs.exists(old) and not fs.rename(old, aside) or not fs.rename(new, old):
+        raise OSError(f"{target} could not be replaced")
+    fs.delete(aside, True)
+
+
 def korean_labels(df: DataFrame) -> DataFrame:
     return df.toDF(*(C.KOREAN_LABEL.get(c, c) for c in df.columns))

@@ -1,17 +1,17 @@
-"""Spreadsheets with the standard library: a Python data source to read them, and a writer."""
+"""Spreadsheets with the standard library: reading them in Spark tasks, and a writer."""
 
 from __future__ import annotations
 
 import io
 import re
 import zipfile
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -67,49 +67,27 @@ def rows_of(data: bytes, sheet: str | None = None) -> list[list[str]]:
     return out
 
 
-class _Sheet(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-class XlsxSource(DataSource):
-    """Format 'xlsx_text': options path and sheet; all columns are strings, the first row names them."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "xlsx_text"
-
-    def _rows(self) -> list[list[str]]:
-        path = self.options["path"].removeprefix("file:")
-        with open(path, "rb") as f:
-            return rows_of(f.read(), self.options.get("sheet"))
-
-    def schema(self) -> str:
-        rows = self._rows()
-        header = rows[0] if rows else []
-        return ", ".join(f"`{(h or f'_c{i}').replace('`', '``')}` string" for i, h in enumerate(header)) or "_empty string"
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self, len(schema))
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, source: XlsxSource, width: int):
-        self.source, self.width = source, width
-
-    def partitions(self):
-        return [_Sheet(self.source.options["path"])]
-
-    def read(self, partition):
-        for cells in self.source._rows()[1:]:
-            yield tuple((cells + [""] * self.width)[: self.width])
-
-
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """A sheet as a table of strings. A file is one task: spreadsheets are bounded by their format."""
-    spark.dataSource.register(XlsxSource)
-    reader = spark.read.format("xlsx_text").option("path", path)
-    return (reader.option("sheet", sheet) if sheet else reader).load()
+    """A sheet as a table of strings, the first row naming the columns; empty cells are ''.
+
+    Read through Spark's file systems; a file is one task, as spreadsheets are bounded
+    by their format. The older binary format (.xls) can't be read: a ValueError.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    kinds = files.select((F.substring("content", 1, 2) == F.lit(b"PK")).alias("zip")).collect()
+    if not all(k["zip"] for k in kinds):
+        raise ValueError(f"not a spreadsheet of the zipped format, save it as .xlsx or CSV: {path}")
+    head = files.select("content").mapInPandas(lambda b: _sheet_rows(b, sheet, True), "cells array<string>").first()
+    names = [h or f"_c{i}" for i, h in enumerate(head["cells"])] if head else []
+    rows = files.select("content").mapInPandas(lambda b: _sheet_rows(b, sheet, False), "cells array<string>")
+    return rows.select(*(F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))
+
+
+def _sheet_rows(batches: Iterator[pd.DataFrame], sheet: str | None, header: bool) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for content in pdf["content"]:
+            rows = rows_of(bytes(content), sheet)
+            yield pd.DataFrame({"cells": rows[:1] if header else rows[1:]})
 
 
 def _cell(ref: str, value: object, style: int = 0) -> str:

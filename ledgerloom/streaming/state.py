@@ -16,11 +16,12 @@ KEYS = ["company_key", "email"]
 def state_view(attempts: DataFrame) -> DataFrame:
     """The latest attempt of each (company_key, email) by seq, with retry_count = attempts of the pair before it.
 
-    NULL e-mails count as ''. One aggregation, combined before the shuffle.
+    NULL e-mails count as ''. A row of a compacted log stands for ``merged`` attempts more. One aggregation, combined before the shuffle.
     """
-    rest = [c for c in attempts.columns if c not in (*KEYS, "retry_count")]
+    rest = [c for c in attempts.columns if c not in (*KEYS, "retry_count", "merged")]
+    n = F.sum(F.lit(1) + F.coalesce("merged", F.lit(0))) if "merged" in attempts.columns else F.count("*")
     keyed = attempts.withColumn("email", F.coalesce("email", F.lit("")))
-    grouped = keyed.groupBy(*KEYS).agg(F.max_by(F.struct(*rest), "seq").alias("row"), (F.count("*") - 1).alias("retry_count"))
+    grouped = keyed.groupBy(*KEYS).agg(F.max_by(F.struct(*rest), "seq").alias("row"), (n - 1).alias("retry_count"))
     return grouped.select(*KEYS, "row.*", "retry_count")
 
 
@@ -101,7 +102,7 @@ STATE_SCHEMA = "company_key string, email string, status string, checked_at stri
 def _advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     status, at, seq, n = state.get if state.exists else ("", "", -1, 0)
     for pdf in batches:
-        n += len(pdf)
+        n += len(pdf) + int(pdf["merged"].sum())
         last = pdf.loc[pdf["seq"].idxmax()]
         if last["seq"] > seq:
             status, at, seq = last["status"], last["checked_at"], int(last["seq"])
@@ -114,7 +115,8 @@ def stream_state(attempts: DataFrame) -> DataFrame:
 
     Late attempts (lower seq) count as retries but don't replace newer ones.
     """
-    rows = attempts.select("company_key", F.coalesce("email", F.lit("")).alias("email"), "status", "checked_at", "seq")
+    merged = F.coalesce("merged", F.lit(0)) if "merged" in attempts.columns else F.lit(0)
+    rows = attempts.select("company_key", F.coalesce("email", F.lit("")).alias("email"), "status", "checked_at", "seq", merged.cast("bigint").alias("merged"))
     return rows.groupBy(*KEYS).applyInPandasWithState(_advance, STATE_SCHEMA, "status string, checked_at string, seq bigint, n bigint", "update", "NoTimeout")
 
 
@@ -128,6 +130,9 @@ def append_batches(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def compacted(attempts: DataFrame) -> DataFrame:
-    """The log with one row per pair that still gives the same view: its latest row and the count so far."""
-    return state_view(attempts)
+    """The log with one row per pair that still gives the same view, also with later attempts after it.
+
+    Its latest row, and in ``merged`` how many earlier attempts it stands for.
+    """
+    return state_view(attempts).withColumnRenamed("retry_count", "merged")
 

@@ -55,3 +55,31 @@ def first_broken(url, params):
     if params["page"] == 1:
         raise OSError("page 1 is broken")
     return bare(url, params)
+
+
+def listing(url, params):
+    page = params["page"]
+    if page == 4:
+        raise OSError("page 4 is broken")
+    body = "".join(f"<tr><td>{i}</td><td>c{page}{i}</td><td>t</td><td>p</td><td>2020</td></tr>" for i in range(2)) if page != 3 else ""
+    return f'<table class="table_list"><tbody>{body}</tbody></table>'.encode()
+
+
+def site(url, params):
+    if "down" in url:
+        raise OSError("no answer")
+    head = '<meta charset="euc-kr">' if "korean" in url else ""
+    return (head + f"문의 info@{url.split('/')[2]}").encode("cp949" if "korean" in url or "bare" in url else "utf-8")
+
+
+def engine(url, params):
+    if url == "google_cse":
+        raise OSError("quota")
+    return json.dumps([{"url": f"http://{url}.kr/{i}", "title": params["query"], "snippet": "s"} for i in range(3)]).encode()
+
+
+def stream(url):
+    yield b"a" * 10_000
+    if "broken" in url:
+        raise OSError("cut off")
+    yield b"b"

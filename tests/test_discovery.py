@@ -54,6 +54,9 @@ def test_cap(spark):
     p = pages(spark, ("http://a.kr", "p1@a.kr p2@a.kr"), ("http://a.kr/2", "p3@a.kr"))
     got = [r_[0] for r_ in discovery.discover(c, r, p).orderBy("place").select("email").collect()]
     assert len(got) == 16 and got[-1] == "p1@a.kr"
+    # The one page still visited has no address: no other is visited for one.
+    bare = pages(spark, ("http://a.kr", "none here"), ("http://a.kr/2", "p3@a.kr"))
+    assert discovery.discover(c, r, bare).count() == discovery.discover(c, r, bare.where("url != 'http://a.kr'")).count() == 15
     few = discovery.discover(c, results(spark, ("A 이메일", "naver_webkr", 1, "http://a.kr", "", "m@a.kr", None)), p, most_emails=2)
     assert [x[0] for x in few.orderBy("place").select("email").collect()] == ["m@a.kr", "p1@a.kr"]
 
@@ -83,6 +86,9 @@ def test_table_flow(spark):
     assert rows(skip.select("no")) == [(3,), (5,)]
     forced = table_flow.enrich_table(df, state, r, p, table_flow.Options(force=True, quick=True, limit=3))
     assert rows(forced.select("no", "outcome")) == [(1, "not_found"), (2, "no_name"), (3, "collected")]
+    assert [r_[0] for r_ in out.select("`No.`").distinct().orderBy("`No.`").collect()] == list(range(1, 8))
+    with pytest.raises(ValueError, match="no rows"):
+        table_flow.enrich_table(df.limit(0), state, r, p)
     with pytest.raises(ValueError, match="name"):
         table_flow.columns_of(df.drop("업체명"))
     with pytest.raises(ValueError, match="spreadsheet"):
@@ -92,3 +98,8 @@ def test_table_flow(spark):
 def test_rendered_method(spark):
     df = spark.createDataFrame([("homepage", True), ("homepage", None)], "method string, flagged boolean")
     assert rows(df.select(discovery.rendered_method())) == [(C.FLAG_PREFIX + "homepage",), ("homepage",)]
+
+
+def test_search_address(spark):
+    df = spark.createDataFrame([("r", "l"), (" ", "l"), (None, None)], "road_address string, lot_address string")
+    assert [r[0] for r in df.select(discovery.search_address()).collect()] == ["r", "l", ""]

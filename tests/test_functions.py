@@ -58,6 +58,12 @@ def test_email_extraction(spark):
     assert one(spark, given, contact.extract_emails) == [["a@firm.kr", "b@firm.kr"], [], [], [], [], ["ok@firm.co.kr"]]
 
 
+def test_outer_marks_of_found_addresses(spark):
+    text = ".info@firm.kr -x@firm.kr sales_@firm.kr %a@firm.kr b+@firm.kr in.fo@firm.kr"
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(contact.extract_emails("t")).first()[0] == ["in.fo@firm.kr"]
+
+
 def test_email_validity(spark):
     given = ["a@firm.kr", "A@FIRM.KR.", "a@x", "-a@firm.kr", "admin@firm.kr", "a@b.zip", None, "a" * 90 + "@firm.kr", "a@sub.kakao.com"]
     assert one(spark, given, contact.valid_email) == [True, True, False, False, False, False, False, False, False]

@@ -159,7 +159,9 @@ def test_report(spark):
     state = S.state_view(attempts(spark, [("a", "info@a.kr", "collected"), ("a", "kim@b.kr", "collected"), ("c", "x@c.kr", "collected"), ("b", "", "not_found")]))
     out = report.report(master, state, {C.IT: 1, C.MANUFACTURING: 2})
     assert [r.no for r in out[C.IT].collect()] == [1, 1, 1]
-    assert rows(out["summary"].select("category", "quota", "pick_rows", "companies", "delta")) == sorted([(C.IT, 1, 3, 1, 0), (C.MANUFACTURING, 2, 0, 0, -2)], key=repr)
+    assert rows(out["summary"].where("part = 1").select("category", "quota", "pick_rows", "companies", "delta")) == sorted([(C.IT, 1, 3, 1, 0), (C.MANUFACTURING, 2, 0, 0, -2)], key=repr)
+    rest = out["summary"].where("part > 1").collect()
+    assert [(r.part, r.hit_rate_text, r.pick_companies, r.emails) for r in rest] == [(2, "66.7%", None, None), (3, None, 2, 3)]
     empty = report.report(master, state.limit(0), {C.IT: 1})
     assert empty["detail"].count() == 0 and "email" in empty["detail"].columns
     assert report.status_report(master, master, state)["progress"].first().processed == 3
