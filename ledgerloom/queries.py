@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import constants as C
@@ -18,8 +19,9 @@ from .functions import text as T
 from .operators import drift, picks, sampling
 from .operators import master as M
 from .operators.category import categorize
-from .plans import report, table_flow
+from .plans import discovery, report, table_flow
 from .session import settled
+from .sources import html
 from .sources.spec import SPECS, empty_unified, normalize_source
 from .streaming import state as S
 
@@ -457,8 +459,212 @@ def existing_lookup(spark, d):
     return found.groupBy("row_id").agg(F.count("known_status").alias("known_results"))
 
 
+# --- discovery: the documents are what searches and visits bring ---
+
+_ANY_HOST = "replace(lower(regexp_extract(coalesce({0}, ''), '^(?:[A-Za-z][\\w+.\\-]*:)?//([^/?#]*)', 1)), 'www.', '')"
+_HOME = f"CASE WHEN {_ANY_HOST.format('homepage')} <> '' THEN 'http://' || {_ANY_HOST.format('homepage')} END"
+_NO_AT_FIRST = "regexp_extract({0}, '^[^@]*@(.*)$', 1)"
+_FIRMS = f"""firms AS (SELECT company_key, company_name, {_HOME} AS homepage FROM companies QUALIFY row_number() OVER (PARTITION BY company_key ORDER BY row_id) = 1)"""
+_RESULTS = """results AS (
+  SELECT query, engine, row_number() OVER (PARTITION BY query, engine ORDER BY doc_id) AS rank, url, text AS snippet FROM (
+    SELECT doc_id, coalesce(company_name, '') || ' 이메일' AS query, ['naver_webkr', 'naver_local', 'duckduckgo'][doc_id % 3 + 1] AS engine, url, text
+    FROM documents JOIN firms USING (company_key)) t)"""
+_PAGES = f"""pages AS (
+  SELECT url, text AS html FROM documents WHERE url IS NOT NULL QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1
+  UNION ALL SELECT 'http://' || {_ANY_HOST.format('url')}, text FROM documents WHERE {_ANY_HOST.format('url')} <> ''
+  QUALIFY row_number() OVER (PARTITION BY {_ANY_HOST.format('url')} ORDER BY doc_id) = 1)"""
+
+
+def _discovery_tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Firms with their homepage's root; every document a result of its firm's first query; documents and hosts' first documents as pages."""
+    firms = M.keep_first(table(spark, d, "companies").select("company_key", "company_name", "homepage", "row_id"), ["company_key"], "row_id")
+    root = lambda c: F.when(contact.url_host(c) != "", F.concat(F.lit("http://"), contact.url_host(c)))
+    firms = firms.select("company_key", "company_name", root("homepage").alias("homepage"))
+    docs = table(spark, d, "documents").select("doc_id", "company_key", "url", "text")
+    engine = F.element_at(F.array(*(F.lit(e) for e in ("naver_webkr", "naver_local", "duckduckgo"))), (F.col("doc_id") % 3 + 1).cast("int"))
+    asked = docs.join(firms, "company_key").select("doc_id", F.concat(F.coalesce("company_name", F.lit("")), F.lit(" 이메일")).alias("query"), engine.alias("engine"), "url", F.col("text").alias("snippet"))
+    results = asked.withColumn("rank", F.row_number().over(W.partitionBy("query", "engine").orderBy("doc_id"))).withColumns({"title": F.lit(None).cast("string"), "address": F.lit(None).cast("string")})
+    first = lambda rows: M.keep_first(rows, ["url"], "doc_id").select("url", F.col("text").alias("html"))
+    pages = first(docs.where("url is not null")).unionByName(first(docs.withColumn("url", root("url")).where("url is not null")))
+    return firms, results.drop("doc_id"), pages
+
+
+@query(f"""WITH {_FIRMS}, named AS (SELECT company_key, coalesce(company_name, '') AS n, regexp_replace(replace(coalesce(homepage, ''), 'http://', ''), '^www\\.', '') AS site FROM firms),
+q AS (SELECT company_key, unnest([n || ' 이메일', n || ' 공식 홈페이지', '"' || n || '" "@"', CASE WHEN site <> '' THEN 'site:' || site || ' 이메일' END, CASE WHEN site <> '' THEN 'site:' || site || ' contact' END]) AS query, unnest([0, 1, 2, 3, 4]) AS query_no FROM named)
+SELECT company_key, query_no, query FROM q WHERE query IS NOT NULL""")
+def search_queries(spark, d):
+    return discovery.search_queries(_discovery_tables(spark, d)[0]).select("company_key", "query_no", "query")
+
+
+_ENGINE_NO = "CASE engine WHEN 'naver_webkr' THEN 0 WHEN 'naver_local' THEN 1 WHEN 'duckduckgo' THEN 3 END"
+_DEPTH = "CASE engine WHEN 'naver_webkr' THEN 10 ELSE 5 END"
+_URL_OK = "coalesce(url, '') <> '' AND NOT (" + " OR ".join(f"contains(url, '{b}')" for b in C.BLOCKED_URL_PARTS) + ")"
+_VISITABLE = f"CASE WHEN {_strip("coalesce(homepage, '')")} NOT IN ({_in(C.UNUSABLE_HOMEPAGES)}) AND starts_with({_strip("coalesce(homepage, '')")}, 'http') THEN {_strip("coalesce(homepage, '')")} END"
+_CANDIDATES = f"""homes AS (SELECT company_key, {_VISITABLE} AS home FROM firms),
+asked AS (SELECT company_key, coalesce(company_name, '') || ' 이메일' AS query FROM firms),
+seen AS (SELECT a.company_key, r.url, ' ' || coalesce(r.snippet, '') AS snippet, engine, {_ENGINE_NO} AS engine_no, rank
+  FROM asked a JOIN results r USING (query) JOIN homes h USING (company_key) WHERE rank <= {_DEPTH} AND {_URL_OK} AND (home IS NULL OR home <> url)),
+placed AS (SELECT company_key, url, snippet, engine, row_number() OVER (PARTITION BY company_key ORDER BY engine_no, rank) AS place FROM (
+  SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY company_key, url ORDER BY engine_no, rank) = 1) t)"""
+
+
+@query(f"WITH {_FIRMS}, {_RESULTS}, {_CANDIDATES} SELECT company_key, url, engine, CAST(place AS INTEGER) AS place FROM placed")
+def candidate_urls(spark, d):
+    firms, results, _ = _discovery_tables(spark, d)
+    return discovery.candidate_urls(firms, results).select("company_key", "url", "engine", "place")
+
+
+def _extracted(name: str, of: str, text: str) -> str:
+    """The acceptable addresses of each row's text with the place of their first appearance."""
+    return f"""{name}_raw AS (SELECT k, unnest(regexp_extract_all(t, '{C.EMAIL_PATTERN}')) AS e, unnest(range(len(regexp_extract_all(t, '{C.EMAIL_PATTERN}')))) AS i FROM (SELECT DISTINCT {text} AS k, {text} AS t FROM {of}) x),
+{name}_clean AS (SELECT k, regexp_replace(trim(e), '[.,;:''"]+$', '') AS email, min(i) AS pos FROM {name}_raw GROUP BY 1, 2),
+{name} AS (SELECT k, email, pos FROM (SELECT *, split_part(lower(email), '@', 1) AS l, substr(lower(email), strpos(email, '@') + 1) AS dm FROM {name}_clean) y
+  WHERE contains(dm, '.') AND NOT {_blocked('dm')} AND l NOT IN ({_in(C.BLOCKED_LOCALS)}) AND NOT regexp_matches(dm, '\\.(png|jpg|gif|pdf|webp)$')
+    AND NOT contains(lower(email), '@2x') AND NOT contains(lower(email), '@3x') AND NOT regexp_matches(l, '^[.\\-_%+]|[.\\-_%+]$'))"""
+
+
+def _noise(email: str, url: str) -> str:
+    dm, host = f"substr(lower({email}), strpos({email}, '@') + 1)", _ANY_HOST.format(url)
+    db, hb = _BASE.format(dm), _BASE.format(host)
+    related = f"(contains({host}, {dm}) OR contains({dm}, {host}) OR ({db} <> '' AND {hb} <> '' AND (contains({hb}, {db}) OR contains({db}, {hb}))))"
+    return f"({dm} NOT IN ({_in(C.FREE_MAIL_DOMAINS)}) AND {host} <> '' AND NOT {_below(host, C.BLOG_HOSTS)} AND NOT {related})"
+
+
+def _valid(email: str) -> str:
+    e = f"regexp_replace(lower({email}), '[.,;:]+$', '')"
+    l, dm = f"split_part({e}, '@', 1)", f"substr({e}, strpos({e}, '@') + 1)"  # noqa: E741
+    return f"(contains({dm}, '.') AND NOT {_blocked(dm)} AND {l} NOT IN ({_in(C.BLOCKED_LOCALS)}) AND NOT regexp_matches({dm}, '\\.(png|jpg|gif|pdf|zip|webp)$') AND length({e}) <= 80 AND length({l}) >= 1 AND NOT regexp_matches({l}, '^[.\\-_%+]|[.\\-_%+]$'))"
+
+
+_HITS = f"""{_extracted('on_page', 'pages', 'html')}, {_extracted('in_snippet', 'placed', 'snippet')},
+visits AS (SELECT company_key, url, place FROM placed WHERE place <= {C.MAX_VISITS} AND NOT regexp_matches(lower(url), '\\.(pdf|jpg|png|gif|zip)$')),
+zero AS (SELECT company_key, email, home AS source_url, 'homepage_direct' AS method, 0 AS phase, 0 AS a, pos AS c FROM homes JOIN pages p ON p.url = home JOIN on_page o ON o.k = p.html WHERE NOT {_noise('email', 'home')}),
+two AS (SELECT company_key, email, url AS source_url, engine || '_snippet' AS method, 2 AS phase, place AS a, pos AS c FROM placed JOIN in_snippet ON k = snippet),
+three AS (SELECT company_key, email, v.url AS source_url, 'homepage' AS method, 3 AS phase, place AS a, pos AS c FROM visits v JOIN pages p ON p.url = v.url JOIN on_page o ON o.k = p.html WHERE NOT {_noise('email', 'v.url')})"""
+
+
+@query(f"""WITH {_FIRMS}, {_RESULTS}, {_PAGES}, {_CANDIDATES}, {_HITS},
+hits AS (SELECT *, row_number() OVER (PARTITION BY company_key, email ORDER BY phase, a, c) = 1 AS is_new FROM (SELECT * FROM zero UNION ALL SELECT * FROM two UNION ALL SELECT * FROM three) t),
+counted AS (SELECT *, coalesce(sum(CAST(is_new AS INTEGER)) OVER (PARTITION BY company_key ORDER BY phase, a, c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_,
+  sum(CASE WHEN phase = 3 THEN 1 ELSE 0 END) OVER (PARTITION BY company_key ORDER BY phase, a, c ROWS UNBOUNDED PRECEDING) AS visit_no FROM hits),
+kept AS (SELECT c.* FROM counted c LEFT JOIN (SELECT company_key, min(place) AS first_visit FROM visits GROUP BY 1) f USING (company_key)
+  WHERE is_new AND (phase < 3 OR before_ < {C.MAX_EMAILS} OR (visit_no = 1 AND a = first_visit)))
+SELECT company_key, email, source_url, method, CAST(row_number() OVER (PARTITION BY company_key ORDER BY phase, a, c) AS INTEGER) AS place FROM kept WHERE {_valid('email')}""")
+def discover_hits(spark, d):
+    return discovery.discover(*_discovery_tables(spark, d)).select("company_key", "email", "source_url", "method", "place")
+
+
+@query(f"""WITH {_FIRMS}, {_RESULTS}, {_PAGES}, {_CANDIDATES}, {_extracted('on_page', 'pages', 'html')}, {_extracted('in_snippet', '(SELECT DISTINCT coalesce(snippet, \'\') AS snippet FROM results) z', 'snippet')},
+every_ AS (
+  SELECT company_key, email, home AS source_url, 'homepage_direct' AS method, -1 AS a, 0 AS b, 0 AS c, pos FROM homes JOIN pages p ON p.url = home JOIN on_page o ON o.k = p.html WHERE NOT {_noise('email', 'home')}
+  UNION ALL
+  SELECT company_key, email, coalesce(url, ''), engine || '_snippet', 0, {_ENGINE_NO}, rank, pos FROM asked JOIN results USING (query) JOIN in_snippet ON k = coalesce(snippet, '')
+  WHERE engine <> 'naver_local' AND rank <= {discovery.QUICK_DEPTH} AND NOT ({" OR ".join(f"contains(coalesce(url, ''), '{b}')" for b in C.BLOCKED_URL_PARTS)}))
+SELECT company_key, email, source_url, method FROM every_ WHERE {_valid('email')} QUALIFY row_number() OVER (PARTITION BY company_key ORDER BY a, b, c, pos) = 1""")
+def first_hit(spark, d):
+    return discovery.first_hit(*_discovery_tables(spark, d)).select("company_key", "email", "source_url", "method")
+
+
+@query("""SELECT 'https://' || company_key || '.example/a/b' AS url, CAST(n AS INTEGER) AS position, link FROM (SELECT DISTINCT company_key FROM companies) c,
+LATERAL (SELECT unnest([1, 2, 3, 4, 5]) AS n, unnest(['https://' || company_key || '.example/contact', 'https://' || company_key || '.example/a/about.html', 'https://' || company_key || '.example/x', 'https://' || company_key || '.example/1?company', 'https://' || company_key || '.example/a/c/contact']) AS link)""")
+def contact_links(spark, d):
+    """The contact links of one made page per company: order, relative links, words in texts, other hosts, stopwords, repeats, the limit."""
+    page = (
+        '<a href="/contact">x</a><a href="about.html">x</a><a href="http://elsewhere.example/contact">x</a><a href="/privacy/contact">x</a><a>contact</a><a href="/x">오시는길</a>'
+        '<a href="/contact">again</a><a href="../1?company">x</a><a href="/none">none</a><a href="c/contact">x</a><a href="/sixth/contact">x</a>'
+    )
+    keys = table(spark, d, "companies").select("company_key").distinct()
+    return html.contact_links(keys.select(F.concat(F.lit("https://"), "company_key", F.lit(".example/a/b")).alias("url"), F.lit(page).alias("html")))
+
+
+@query(f"WITH {_FIRMS} SELECT row_id, CASE WHEN {_strip("coalesce(road_address, '')")} <> '' THEN road_address WHEN {_strip("coalesce(lot_address, '')")} <> '' THEN lot_address ELSE '' END AS address FROM companies")
+def search_addresses(spark, d):
+    return table(spark, d, "companies").select("row_id", discovery.search_address().alias("address"))
+
+
+@query(f"""WITH {_FIRMS}, {_STATE}, hits AS (SELECT company_key, email, source_url, method FROM state WHERE status = 'collected' AND email <> ''),
+errors AS (SELECT company_key, min(error_message) AS error_message FROM emails WHERE error_message IS NOT NULL GROUP BY 1)
+SELECT company_key, email, 'collected' AS status FROM firms JOIN hits USING (company_key)
+UNION ALL SELECT company_key, '', CASE WHEN trim(coalesce(company_name, '')) = '' THEN 'skipped' WHEN error_message IS NOT NULL THEN 'failed' ELSE 'not_found' END
+FROM firms LEFT JOIN errors USING (company_key) WHERE company_key NOT IN (SELECT company_key FROM hits)""")
+def outcome_rows(spark, d):
+    firms = _discovery_tables(spark, d)[0]
+    hits = _state(spark, d).where("status = 'collected' and email != ''")
+    errors = table(spark, d, "emails").where("error_message is not null").groupBy("company_key").agg(F.min("error_message").alias("error_message"))
+    return S.outcome_rows(firms, hits, "2025-01-01T00:00:00", errors).select("company_key", "email", "status")
+
+
+@query(f"WITH {_STATE}, {_PER_COMPANY}, {_KEYS} SELECT company_key FROM keys LEFT JOIN per USING (company_key) WHERE status IS NULL OR (status = 'failed' AND retries < 2)")
+def worklist_compacted(spark, d):
+    """The work list of a log whose older half was compacted is that of the whole log."""
+    log = table(spark, d, "emails")
+    older = F.col("seq") <= log.agg((F.max("seq") / 2).alias("m")).scalar()
+    kept = S.compacted(log.where(older)).unionByName(log.where(~older).drop("retry_count"), allowMissingColumns=True)
+    return S.worklist(table(spark, d, "companies").select("company_key").distinct(), S.state_view(kept))
+
+
+_QUOTA_ROWS = ", ".join(f"('{c}', {q}, {k})" for k, (c, q) in enumerate(C.QUOTAS.items(), 1))
+
+
+@query(f"""WITH {_MASTER}, {_PICKS}, quota(category, quota, place) AS (VALUES {_QUOTA_ROWS}),
+j AS (SELECT m.category, count(*) AS pick_rows, count(DISTINCT m.company_name) AS companies FROM master m JOIN picks p USING (company_key) GROUP BY m.category),
+r AS (SELECT count(DISTINCT company_key) FILTER (status = 'collected') AS found, {' + '.join(f"count(DISTINCT company_key) FILTER (status = '{s}')" for s in C.STATUSES)} AS processed FROM state)
+SELECT 1 AS part, q.place, q.category, CAST(q.quota AS BIGINT) AS quota, coalesce(pick_rows, 0) AS pick_rows, coalesce(companies, 0) AS companies, coalesce(companies, 0) - q.quota AS delta,
+  NULL::BIGINT AS processed, NULL::BIGINT AS found, NULL::DOUBLE AS hit_rate, NULL::BIGINT AS pick_companies, NULL::BIGINT AS emails FROM quota q LEFT JOIN j USING (category)
+UNION ALL SELECT 2, 1, NULL, NULL, NULL, NULL, NULL, processed, found, round(found * 100.0 / processed, 6), NULL, NULL FROM r
+UNION ALL SELECT 3, 1, NULL, NULL, (SELECT count(*) FROM picks), NULL, NULL, NULL, NULL, NULL, (SELECT count(DISTINCT company_key) FROM picks), (SELECT count(DISTINCT email) FROM picks)""")
+def report_summary(spark, d):
+    state = _state(spark, d)
+    out = report.summary(_master(spark, d), state, picks.best_picks(state))
+    return out.drop("hit_rate_text").withColumn("hit_rate", F.round("hit_rate", 6))
+
+
 # --- raw registries ---
 
+#: Headers under which each registry's rows are read, and the columns they hold.
+_RAW = {
+    "15105482": {"사업자등록번호": "biz_reg_no", "회사명": "company_name_raw", "대표자": "representative", "업종코드": "industry_code", "도로명 주소": "road_address", "지번 주소": "lot_address", "종업원수": "employees", "가동상태": "operating_status", "설립일": "registered_on"},
+    "15057023": {"CMPNY_NM": "company_name_raw", "REFINE_ROADNM_ADDR": "road_address", "REFINE_LOTNO_ADDR": "lot_address", "TELNO": "phone", "INDUTYPE_CD_INFO": "industry_code", "EMPLY_CNT": "employees", "FACTRY_REGIST_DE": "registered_on"},
+    "15052274": {"사업자 번호": "biz_reg_no", "업체": "company_name_raw", "대표자명": "representative", "소재지 주소": "road_address", "연락처": "phone", "직원수": "employees"},
+    "innobiz": {"회사명": "company_name_raw", "지역": "province", "인증일": "registered_on"},
+    "15118569": {"사업자등록": "biz_reg_no", "상호": "company_name_raw", "대표": "representative", "주소": "road_address", "전화": "phone", "등록일": "registered_on"},
+    "15086381": {"기업명": "company_name_raw", "대표자": "representative", "소재지": "road_address", "전화번호": "phone", "인력": "employees"},
+    "15099307": {"사업자번호": "biz_reg_no", "업체명": "company_name_raw", "소재": "road_address", "신고일": "registered_on"},
+    "15065485": {"ncrGsKname": "company_name_raw", "ncrGsMaster": "representative", "ncrGsAddr": "road_address", "ncrGsRegdate": "registered_on", "ncrMasterNum": "biz_reg_no", "ncrOffTel": "phone"},
+    "15071341": {"사업장명": "company_name_raw", "전화번호": "phone", "지번주소": "lot_address", "도로명주소": "road_address", "영업상태명": "operating_status", "인허가일자": "registered_on"},
+}
+_SHOWN = ["company_name", "representative", "industry_code", "province", "district", "road_address", "lot_address", "phone", "employees", "registered_on", "operating_status"]
+
+
+def _normalized_sql(source: str) -> str:
+    has = set(_RAW[source].values())
+    text = lambda c: f"coalesce({c}, '')" if c in has else "NULL"
+    address = "coalesce(road_address, '')" if "road_address" in has else "coalesce(lot_address, '')"
+    word = f"string_split_regex({_strip(address)}, '{_SPACE}+')[2]"
+    by_address = SPECS[source].region_from_address
+    province = "CASE " + " ".join(f"WHEN starts_with({_strip(address)}, '{k}') THEN '{v}'" for k, v in C.PROVINCES.items()) + " END" if by_address else text("province")
+    district = f"CASE WHEN regexp_matches({word}, '[시군구]$') THEN {word} END" if by_address else "NULL"
+    digits = "regexp_replace(coalesce(biz_reg_no, ''), '[^0-9]', '', 'g')" if "biz_reg_no" in has else "''"
+    status = text("operating_status")
+    if SPECS[source].map_status:
+        status = f"CASE {_strip(status)} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.STATUS_NAMES.items()) + f" ELSE {_strip(status)} END"
+    number = "employees" if "employees" in has else "NULL::DOUBLE"
+    columns = {c: text(c) for c in ("representative", "industry_code", "road_address", "lot_address", "phone", "registered_on")} | {"company_name": _strip("coalesce(company_name_raw, '')"), "province": province, "district": district, "employees": number, "operating_status": status}
+    made = f"SELECT row_id, '{source}' AS source_dataset_id, {digits} AS digits, " + ", ".join(f"{e} AS {c}" for c, e in columns.items()) + f" FROM companies WHERE source_dataset_id = '{source}'"
+    key = f"CASE WHEN length(digits) = 10 THEN digits ELSE substr(sha256({_norm('company_name')} || '|' || {_strip("coalesce(province, '')")} || '|' || {_strip("coalesce(district, '')")}), 1, 16) END"
+    return f"SELECT source_dataset_id, {key} AS company_key, {', '.join(_SHOWN)} FROM ({made}) t QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY row_id) = 1"
+
+
+@query(" UNION ALL ".join(_normalized_sql(s) for s in _RAW))
+def normalize_registries(spark, d):
+    """Every registry's rows, under headers of its own, through its header rules into the unified schema."""
+    rows, parts = table(spark, d, "companies"), []
+    for source, headers in _RAW.items():
+        value = lambda c: F.col(c).cast("decimal(20,2)").cast("string") if c == "employees" else F.col(c)
+        raw = rows.where(F.col("source_dataset_id") == source).select(F.col("row_id").alias("row_ordinal"), *(value(c).alias(h) for h, c in headers.items()))
+        parts.append(normalize_source(raw, SPECS[source], "2025-01-01"))
+    return reduce(DataFrame.unionByName, parts).select("source_dataset_id", "company_key", *_SHOWN)
+
 
 @query("""WITH c AS (SELECT 'customer' AS source, c_name AS name, c_nationkey AS nation, CAST(round(c_acctbal, 2) AS DOUBLE) AS capital FROM customer
 UNION ALL SELECT 'supplier', s_name, s_nationkey, CAST(round(s_acctbal, 2) AS DOUBLE) FROM supplier)
