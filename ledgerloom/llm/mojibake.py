@@ -144,22 +144,30 @@ class Model:
 
 
 def heaviest(weights: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal segments with a positive sum, left to right, as (first, last + 1, sum); linear time per found run."""
-    out, start, best, best_at, total = [], None, 0.0, 0, 0.0
+    """The maximum-scoring segments of weights, left to right, as (first, last + 1, sum): all maximal ones of Ruzzo and Tompa.
+
+    Each weight above 0 starts a candidate, which joins earlier ones while that
+    makes a heavier segment. Candidates wait in a list ordered by what was summed
+    before them, so joining looks back only over those it swallows.
+    """
+    waiting: list[tuple[int, int, float, float]] = []  # first, last + 1, sum before it, sum to its end
+    total = 0.0
     for i, w in enumerate(weights):
-        if start is None:
-            if w > 0:
-                start, total, best, best_at = i, w, w, i + 1
+        before, total = total, total + w
+        if w <= 0:
             continue
-        total += w
-        if total > best:
-            best, best_at = total, i + 1
-        if total <= 0 or best - total > 3 * SUSPECT:
-            out.append((start, best_at, best))
-            start = None
-    if start is not None:
-        out.append((start, best_at, best))
-    return out
+        first, low = i, before
+        while True:
+            # The nearest candidate that starts lower than this one; those between can't join with it.
+            k = len(waiting) - 1
+            while k >= 0 and waiting[k][2] >= low:
+                k -= 1
+            if k < 0 or waiting[k][3] >= total:
+                break
+            first, low = waiting[k][0], waiting[k][2]
+            del waiting[k:]
+        waiting.append((first, i + 1, low, total))
+    return [(a, b, float(high - low)) for a, b, low, high in waiting]
 
 
 def _encode(s: str, name: str) -> bytes | None:
@@ -208,6 +216,18 @@ def _certain(text: str, wrong: str, right: str) -> bool:
     return right == "utf-8" and wrong in ("cp1252", "mac_roman") and len(odd) >= 3 and all(c.isalpha() and ord(c) > 0xFF for c in odd)
 
 
+#: Letters of European languages with their marks, which UTF-8 writes in two bytes.
+_ACCENTED = re.compile(r"[\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0218-\u021b]")
+
+
+def _accented(text: str, word: str, wrong: str, right: str) -> bool:
+    """Latin letters with marks out of two-byte UTF-8 sequences, within a word of Latin letters or several of them: no accident either."""
+    odd = [c for c in text if not c.isascii()]
+    if right != "utf-8" or wrong not in ("cp1252", "mac_roman", "cp437") or not odd or not all(_ACCENTED.fullmatch(c) for c in odd):
+        return False
+    return sum(c.isascii() and c.isalpha() for c in word) >= 2 or len(odd) >= 2
+
+
 def restored(run: str, model: Model) -> str | None:
     """The run with one or two mistakes undone, if that makes plausible text."""
     tried = {run}
@@ -221,7 +241,7 @@ def restored(run: str, model: Model) -> str | None:
                 if t is None or t in tried:
                     continue
                 tried.add(t)
-                if _plausible(t, model) or _certain(t, wrong, right):
+                if _plausible(t, model) or _certain(t, wrong, right) or _accented(t, run, wrong, right):
                     return t
                 found.append(t)
         layer = found
@@ -285,6 +305,8 @@ def _fitting(raw: list[int | None], model: Model) -> list[str]:
 
 
 _BROKEN_CHARS = re.compile("[�-\x80-\x84\x86-\x9f]")
+#: A marked Latin letter's two bytes as the Western pages show them: a pair that no language writes, however rare it is in the corpus.
+_TWO_BYTES = re.compile("|".join(f"[{bytes([0xC3, 0xC4, 0xC5]).decode(page)}][{re.escape(bytes(range(0x80, 0xC0)).decode(page, 'ignore'))}]" for page in ("latin_1", "cp1252", "mac_roman", "cp437")))
 _TOKEN = re.compile(r"[^\x00-\x20　()\[\],]+")
 
 
@@ -294,7 +316,7 @@ def examine(text: str, model: Model, weights: np.ndarray | None = None) -> tuple
         codes, _ = _codes([text])
         weights = model.shortfall(codes) if len(codes) > 1 else np.zeros(0)
     runs = [(i, j + 1) for i, j, s in heaviest(weights) if s >= SUSPECT]
-    runs += [m.span() for m in _BROKEN_CHARS.finditer(text)]
+    runs += [m.span() for pattern in (_BROKEN_CHARS, _TWO_BYTES) for m in pattern.finditer(text)]
     if not runs:
         return False, None
     # A mistake concerns words; those a run touches are tried, wider first: a word's ASCII part may be half of a character.

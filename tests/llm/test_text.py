@@ -61,6 +61,36 @@ def test_twice_garbled_and_parts(spark, garbled):
     assert sorted(out) == [(5000, "주식회사 가나전자"), (5001, "주식회사 가나전자"), (5001, "주식회사 가나전자")]
 
 
+def test_garbled_latin_text(spark, garbled):
+    df, _ = garbled
+    bad = {"KÃ¶ln GmbH": "Köln GmbH", "CafÃ© de la GarÃ§on": "Café de la Garçon", "Ã…ngstrÃ¶m AB": "Ångström AB", "ÅÃ³dÅº": None}
+    clean = ["Köln GmbH", "CAFÉ»", "«Ça»", "Müller & Söhne", "São Paulo", "5Ä°", "N°5 É°"]
+    both = df.select("row_id", "name").unionAll(spark.createDataFrame([(6000 + i, t) for i, t in enumerate([*bad, *clean])], "row_id bigint, name string"))
+    out = {r.value: r.restored for r in mojibake.garbled_values(both, ["name"]).where("row_id >= 6000").collect()}
+    assert {k: v for k, v in bad.items() if v} == {k: out.get(k) for k, v in bad.items() if v}
+    assert not set(clean) & set(out)
+
+
+def test_segments_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(300):
+        w = [rng.randint(-4, 4) for _ in range(rng.randint(0, 14))]
+        got = mojibake.heaviest(w)
+        assert all(s == sum(w[a:b]) > 0 for a, b, s in got) and all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
+        # By definition: the heaviest segment (the shortest of equals), then those of what is left on both sides.
+        want = []
+
+        def split(lo, hi, w=w, want=want):
+            best = max(((sum(w[a:b]), a - b, -a, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)), default=(0,))
+            if best[0] > 0:
+                want.append((best[3], best[4], best[0]))
+                split(lo, best[3])
+                split(best[4], hi)
+
+        split(0, len(w))
+        assert sum(s for *_, s in got) == sum(s for *_, s in want) and max((s for *_, s in got), default=0) == max((s for *_, s in want), default=0)
+
+
 def test_no_values(spark, garbled):
     df, _ = garbled
     assert mojibake.garbled_values(df.limit(0), ["name"]).count() == 0
