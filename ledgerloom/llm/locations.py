@@ -34,6 +34,8 @@ CONTAINED = 0.8
 #: How many times as often as a misspelling the road it stands for is named in its district.
 ESTABLISHED = 4
 FIELDS = {"road_address": korean.road_address, "lot_address": korean.lot_address}
+#: Rows up to which a table of spellings is broadcast (some 60 bytes each).
+MOST_BROADCAST = 200_000
 #: The parts that contradict each other where both addresses give them. A neighbourhood in brackets is only a note.
 TOKENS = ["province", "district", "street", "number"]
 PARSED = ["province", "district", "road", "side", "number", "area"]
@@ -55,25 +57,20 @@ def readable(text: str | None, model: Model) -> str:
 
 
 def parsed(companies: DataFrame, model=None) -> DataFrame:
-    """One row per filled address that can be read: row_id, field and its parts as they are spelled."""
+    """One row per filled address: row_id, field, text (a hash of it) and its parts as they are spelled, NULL if it can't be read."""
     model = corpus_model(companies, list(FIELDS)) if model is None else model
     each = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in FIELDS)))
-    rows = companies.select("row_id", each.alias("x")).select("row_id", "x.*").where(filled("text"))
+    rows = companies.select("row_id", each.alias("x")).select("row_id", "x.*").where(filled("text")).withColumn("hash", F.xxhash64("text"))
+    nothing = (None,) * len(PARSED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in batches:
-            keep, parts = [], []
-            for k, (field, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                a = FIELDS[field](readable(text, m))
-                if a is not None:
-                    keep.append(k)
-                    parts.append(a)
-            hit = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([hit.column(0), hit.column(1), *(pa.array([p[i] for p in parts], pa.string()) for i in range(len(PARSED)))], names=["row_id", "field", *PARSED])
+            parts = [FIELDS[field](readable(text, m)) or nothing for field, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *(pa.array([p[i] for p in parts], pa.string()) for i in range(len(PARSED)))], names=["row_id", "field", "text", *PARSED])
 
     kind = rows.schema["row_id"].dataType.simpleString()
-    return spread(rows).mapInArrow(run, f"row_id {kind}, field string, " + ", ".join(f"{p} string" for p in PARSED))
+    return spread(rows).mapInArrow(run, f"row_id {kind}, field string, text bigint, " + ", ".join(f"{p} string" for p in PARSED))
 
 
 def _heard(names: DataFrame, name: str) -> DataFrame:
@@ -91,6 +88,11 @@ def _heard(names: DataFrame, name: str) -> DataFrame:
     return names.mapInArrow(run, f"{kinds}, roman string, heard string, latin boolean")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A settled table to be broadcast if it has few rows; else Spark shuffles."""
+    return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df
+
+
 def spelled(addresses: DataFrame) -> DataFrame:
     """Addresses with district and road as their place usually spells them; see the module's second point."""
     districts = settled(_heard(addresses.where("district != ''").groupBy("district").agg(F.count("*").alias("n")), "district"))
@@ -99,7 +101,7 @@ def spelled(addresses: DataFrame) -> DataFrame:
     of_latin = districts.where("latin").join(sure.groupBy("roman").agg(F.max_by("_district", F.struct("n", "_district")).alias("_district")), "roman")
     of_maybe = districts.where(maybe).withColumn("_word", F.substring("district", 2, 1_000)).join(sure, F.col("_word") == F.col("_district"), "left").select("district", F.coalesce("_district", F.lit("")).alias("_district"))
     to = of_latin.select("district", "_district").unionByName(of_maybe)
-    rows = addresses.join(to, "district", "left").withColumn("district", F.coalesce("_district", "district")).drop("_district")
+    rows = addresses.join(_small(to), "district", "left").withColumn("district", F.coalesce("_district", "district")).drop("_district")
     roads = settled(_heard(rows.groupBy("field", "district", "road").agg(F.count("*").alias("n")), "road"))
     # Where no district is given, the roads of all districts count.
     everywhere = roads.where("district != ''").groupBy("field", "road", "roman", "heard", "latin").agg(F.sum("n").alias("n")).withColumn("district", F.lit(""))
@@ -119,54 +121,69 @@ def spelled(addresses: DataFrame) -> DataFrame:
     # The road a misspelling stands for may itself be one of a road named still more often.
     again = to.select("field", "district", F.col("road").alias("_road"), F.col("_road").alias("_last"))
     to = to.join(again, ["field", "district", "_road"], "left").select("field", "district", "road", F.coalesce("_last", "_road").alias("_road"))
-    named = rows.join(to, ["field", "district", "road"], "left").withColumn("road", F.coalesce("_road", "road"))
+    named = rows.join(_small(settled(to)), ["field", "district", "road"], "left").withColumn("road", F.coalesce("_road", "road"))
     return named.withColumn("street", F.concat_ws("|", "road", F.nullif("side", F.lit("")))).drop("_road", "road", "side")
 
 
-def _weighed(different: DataFrame) -> DataFrame:
-    """Different addresses with ``tokens``: struct(token, weight), and ``rarest``, the token an address is indexed by.
+def _token(part: str) -> Column:
+    """The number of a token: a hash of part, field and value; NULL where the address doesn't give the part."""
+    return F.when(F.col(part) != "", F.xxhash64(F.lit(part), "field", part))
+
+
+def _complete() -> Column:
+    """Does an address give every part? Then no other one can be fuller."""
+    return (F.col("province") != "") & (F.col("district") != "")
 
-    Every address gives its number and unequal numbers contradict, so number and
-    field are part of the key that index and probe meet by, besides the token.
-    """
-    token = lambda p: F.when(F.col(p) != "", F.concat(F.lit(p[0]), F.lit("#"), F.col("field"), F.lit("#"), F.col(p)))
-    each = different.select("address", F.explode(F.array_compact(F.array(*map(token, TOKENS)))).alias("token"))
-    often = each.groupBy("token").agg(F.count("*").alias("often"))
-    total = F.broadcast(different.agg(F.count("*").alias("total")))
-    weight = F.log(F.col("total") + 1) - F.log("often") + 0.01
-    weighed = each.join(often, "token").crossJoin(total).select("address", F.struct("token", weight.alias("weight")).alias("t"))
-    keys = F.max_by("t.token", F.when(~F.col("t.token").startswith("n#"), F.struct("t.weight", "t.token"))).alias("rarest")
-    packed = weighed.groupBy("address").agg(F.collect_list("t").alias("tokens"), keys)
-    return different.join(packed, "address")
 
+def resolved(addresses: DataFrame) -> DataFrame:
+    """For every different address that lacks a part: address, and the building that the fullest address containing it denotes.
 
-def fullest(addresses: DataFrame) -> DataFrame:
-    """For every different address (field and parts) the building it denotes: address, building."""
+    Every address gives street and number, and unequal numbers contradict, so
+    index and probe meet by token and number. Weights are counted over all
+    different addresses of either kind.
+    """
     key = ["field", *TOKENS]
-    different = addresses.groupBy("address", *key).agg(F.count("*").alias("n"), F.max(F.length("area")).alias("noted"))
-    weighed = settled(_weighed(different))
-    meet = lambda token: F.xxhash64("field", "number", token)
-    tokens = F.transform("tokens", lambda t: t["token"])
-    short = weighed.select("address", *TOKENS, "tokens", meet("rarest").alias("_key"))
-    full = weighed.select(F.col("address").alias("f_address"), "n", "noted", *(F.col(p).alias(f"f_{p}") for p in TOKENS), tokens.alias("f_tokens"), "field", "number")
-    full = full.select("*", F.explode("f_tokens").alias("_token")).where("not startswith(_token, 'n#')").withColumn("_key", meet("_token")).drop("_token", "field", "number")
-    pairs = short.join(full, "_key")
-    agree = F.lit(True)
+    different = settled(addresses.groupBy("address", *key).agg(F.count("*").alias("n"), F.max(F.length("area")).alias("noted")))
+    often = different.select(F.explode(F.array_compact(F.array(*map(_token, TOKENS)))).alias("token")).groupBy("token").agg(F.count("*").alias("often"))
+    total = F.broadcast(different.agg(F.count("*").alias("total")))
+    short = different.where(~_complete())
+    parts = F.explode(F.array_compact(F.array(*(F.when(_token(p).isNotNull(), F.struct(F.lit(p).alias("part"), _token(p).alias("token"))) for p in TOKENS)))).alias("t")
+    weight = (F.log(F.col("total") + 1) - F.log("often") + 0.01).alias("weight")
+    weighed = short.select("address", "number", parts).select("address", "number", "t.*").join(often, "token").crossJoin(total).select("address", "number", "part", "token", weight)
+    rarest = F.max_by("token", F.when(F.col("part") != "number", F.struct("weight", "token"))).alias("rarest")
+    own = weighed.groupBy("address", "number").agg(rarest, F.sum("weight").alias("own"), *(F.sum(F.when(F.col("part") == p, F.col("weight"))).alias(f"w_{p}") for p in TOKENS))
+    short = short.select("address", *key).join(own.drop("number"), "address").withColumn("_key", F.xxhash64("number", "rarest"))
+    probes = different.select(F.col("address").alias("full"), F.explode(F.array_compact(F.array(*(F.xxhash64("number", _token(p)) for p in TOKENS if p != "number")))).alias("_key"))
+    near = probes.join(short.select("address", "_key"), "_key").select("address", "full")
+    full = different.select(F.col("address").alias("full"), "n", "noted", *(F.col(p).alias(f"f_{p}") for p in TOKENS))
+    rows = near.join(full, "full").join(short.drop("_key", "rarest"), "address")
+    agree, held, given, f_given = F.lit(True), F.lit(0.0), F.lit(0), F.lit(0)
     for p in TOKENS:
         agree = agree & ((F.col(p) == "") | (F.col(f"f_{p}") == "") | (F.col(p) == F.col(f"f_{p}")))
-    weight = lambda ts: F.aggregate(ts, F.lit(0.0), lambda acc, t: acc + t["weight"])
-    held = F.filter("tokens", lambda t: F.array_contains("f_tokens", t["token"]))
-    contained = (F.size("f_tokens") >= F.size("tokens")) & (weight(held) >= CONTAINED * weight(F.col("tokens")))
-    fuller = pairs.where(agree & contained)
+        held = held + F.when((F.col(p) != "") & (F.col(p) == F.col(f"f_{p}")), F.col(f"w_{p}")).otherwise(0.0)
+        given, f_given = given + (F.col(p) != "").cast("int"), f_given + (F.col(f"f_{p}") != "").cast("int")
+    fuller = rows.where(agree & (held >= CONTAINED * F.col("own")) & (f_given >= given)).withColumn("_given", f_given)
     several = lambda p: F.count_distinct(F.when(F.col(f"f_{p}") != "", F.col(f"f_{p}"))) > 1
-    best = fuller.groupBy("address").agg(
-        F.max_by(F.struct(*(F.col(f"f_{p}").alias(p) for p in TOKENS)), F.struct(F.size("f_tokens"), "n", "noted", "f_address")).alias("b"),
+    best = fuller.groupBy("address", *key).agg(
+        F.max_by(F.struct(*(F.col(f"f_{p}").alias(p) for p in TOKENS)), F.struct("_given", "n", "noted", "full")).alias("b"),
         (several("district") | several("province")).alias("alone"),
     )
-    b = lambda *parts: F.concat_ws("#", "field", *parts)
-    own = b(*TOKENS, F.when(F.col("district") == "", F.col("address").cast("string")).otherwise(F.lit("")))
-    building = F.when(F.col("alone"), own).otherwise(b(*(f"b.{p}" for p in TOKENS)))
-    return weighed.select("address", *key).join(best, "address").select("address", building.alias("building"))
+    alone = _building(*TOKENS, F.when(F.col("district") == "", F.col("address").cast("string")).otherwise(F.lit("")))
+    return best.select("address", F.when(F.col("alone"), alone).otherwise(_building(*(f"b.{p}" for p in TOKENS))).alias("building"))
+
+
+def _building(*parts: str | Column) -> Column:
+    return F.concat_ws("#", "field", *parts)
+
+
+def _placed(companies: DataFrame, model=None) -> DataFrame:
+    """row_id, field, text and building (NULL for an unreadable address) of each filled address."""
+    rows = settled(parsed(companies, model))
+    addresses = spelled(rows.where("road is not null")).withColumn("address", F.xxhash64("field", *TOKENS))
+    whole = addresses.where(_complete()).select("row_id", "field", "text", _building(*TOKENS).alias("building"))
+    partly = addresses.where(~_complete()).join(_small(settled(resolved(addresses))), "address").select("row_id", "field", "text", "building")
+    unreadable = rows.where("road is null").select("row_id", "field", "text", F.lit(None).cast("string").alias("building"))
+    return whole.unionByName(partly).unionByName(unreadable)
 
 
 def buildings(companies: DataFrame, model=None) -> DataFrame:
@@ -175,8 +192,7 @@ def buildings(companies: DataFrame, model=None) -> DataFrame:
     This membership is as long as the table, whatever the size of a building.
     Repeated rows come out again. NULL, blank and unreadable addresses have none.
     """
-    addresses = settled(spelled(settled(parsed(companies, model))).withColumn("address", F.xxhash64("field", *TOKENS)))
-    return addresses.join(fullest(addresses), "address").select("row_id", "field", "building")
+    return _placed(companies, model).where("building is not null").select("row_id", "field", "building")
 
 
 def same_location(companies: DataFrame) -> DataFrame:
@@ -185,21 +201,22 @@ def same_location(companies: DataFrame) -> DataFrame:
     Input: row_id (unique), road_address, lot_address; other columns are ignored.
     Both rows fill road_address or both fill lot_address, and no field that both
     fill has exactly the same text (such pairs are copies, not writings). NULL
-    and blank addresses match nothing; repeated rows give one result. Pairs are made within one building only
-    and each comes out once: by its lot only where the roads' buildings differ.
-    Spark splits the join of a hot building (adaptive skew join).
+    and blank addresses match nothing; repeated rows give one result. Pairs are
+    made within one building only and each comes out once: by its lot only where
+    the roads' buildings differ. Spark splits the join of a hot building (adaptive skew join).
     """
-    at = lambda f, n: F.max(F.when(F.col("field") == f, F.xxhash64("building"))).alias(n)
-    places = buildings(companies).groupBy("row_id").agg(at("road_address", "road"), at("lot_address", "lot"))
-    texts = companies.select("row_id", *(F.when(filled(f), F.xxhash64(f)).alias(f"{f}_text") for f in FIELDS)).dropDuplicates(["row_id"])
-    rows = settled(places.join(texts, "row_id"))
+    at = lambda f, c, n: F.max(F.when(F.col("field") == f, c)).alias(n)
+    building = F.xxhash64("building")
+    of_field = [(f, n) for f, n in zip(FIELDS, ("road", "lot"), strict=True)]
+    columns = [x for f, n in of_field for x in (at(f, F.when(F.col("building").isNotNull(), building), n), at(f, F.col("text"), f"{n}_text"))]
+    rows = settled(_placed(companies).groupBy("row_id").agg(*columns))
     keys = F.explode(F.array(F.struct(F.lit(True).alias("is_road"), F.col("road").alias("place")), F.struct(F.lit(False).alias("is_road"), F.col("lot").alias("place"))))
-    each = rows.select("*", keys.alias("k")).select("*", "k.*").where("place is not null")
+    each = rows.select("row_id", "road", "road_text", "lot_text", keys.alias("k")).select("row_id", "road", "road_text", "lot_text", "k.*").where("place is not null")
     a, b = each.alias("a"), each.alias("b")
     equal = lambda c: F.coalesce(F.col(f"a.{c}") == F.col(f"b.{c}"), F.lit(False))
     on = (F.col("a.place") == F.col("b.place")) & (F.col("a.is_road") == F.col("b.is_road")) & (F.col("a.row_id") < F.col("b.row_id"))
     once = F.col("a.is_road") | ~equal("road")
-    return a.join(b, on & once & ~equal("road_address_text") & ~equal("lot_address_text")).select(F.col("a.row_id").alias("row_id_a"), F.col("b.row_id").alias("row_id_b"))
+    return a.join(b, on & once & ~equal("road_text") & ~equal("lot_text")).select(F.col("a.row_id").alias("row_id_a"), F.col("b.row_id").alias("row_id_b"))
 
 
 def p6_found(spark, sf_dir: str) -> DataFrame:
