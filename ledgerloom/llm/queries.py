@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": survivor.p4_found,
         "p4_consensus": survivor.p4_consensus,
         "p5_found": entities.p5_found,
+        "p5_reliability": entities.p5_reliability,
         "p6_found": locations.p6_found,
         "p6_buildings": locations.p6_buildings,
         "p7_found": mojibake.p7_found,

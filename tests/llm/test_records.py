@@ -140,6 +140,20 @@ def test_close_pairs_are_exact(spark, monkeypatch):
     want = {(a[0], b[0]) for a, b in combinations(data, 2) if a[1] and a[1] == b[1] and bin((a[2] ^ b[2]) & mask).count("1") <= entities.RADIUS}
     for direct in (1, 48, 10_000):
         monkeypatch.setattr(entities, "DIRECT", direct)
-        out = entities.close_pairs(df, [(F.col("exact"), F.col("bits"))], ["unit"]).select("a.unit", "b.unit")
+        out = entities.close_pairs(df, [(F.col("exact"), F.col("bits"))])
         got = list(map(tuple, out.collect()))
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_confidences_are_shares_of_matches(spark):
+    rng = random.Random(12)
+    data = []
+    for i in range(4000):
+        name = rng.random()
+        data.append((i, i + 10_000, "equal" if rng.random() < name**2 else "far", name, 0.0, 0.0, 1.0, 0.0, 1.0))
+    pairs = spark.createDataFrame(data, "unit_a bigint, unit_b bigint, number string, name double, line_differs double, phone double, phone_missing double, place double, place_missing double")
+    w = entities.fitted(pairs)
+    said = pairs.select((1 / (1 + F.exp(-entities._odds(w)))).alias("p"), (F.col("number") == "equal").cast("double").alias("y")).toPandas()
+    for low in (0.0, 0.25, 0.5, 0.75):
+        own = said[(said.p >= low) & (said.p < low + 0.25)]
+        assert len(own) < 50 or abs(own.p.mean() - own.y.mean()) < 0.08
