@@ -60,6 +60,15 @@ _PARTIAL_LINK = re.compile(r"(?:@|://|www\.)[\w.-]*\.$")
 _STRIP = ".,;:?!\"'“”‘’()[]<>「」『』。！？…"
 
 
+def _unmarked(text: str) -> str:
+    """The text without marks of a cut at its end; its last letters tell, unless the marks, of up to 16 letters each, may begin before them."""
+    tail = text[-64:]
+    m = _MARKER.search(tail)
+    if m is None:
+        return text
+    return text[: len(text) - len(tail) + m.start()] if m.start() > 16 else _MARKER.sub("", text)
+
+
 def _word(w: str) -> str:
     return w.strip(_STRIP).lower() or w.lower()
 
@@ -102,7 +111,7 @@ def ending_counts(texts: DataFrame) -> DataFrame:
             tables = [Counter() for _ in range(TABLES)]
             for text in batch.column(0).to_pylist():
                 if text and text.strip():
-                    _count(_MARKER.sub("", text.rstrip()), tables)
+                    _count(_unmarked(text.rstrip()), tables)
             for whole, pieces in ((STARTS, START_PIECES), (INNER, INNER_PIECES)):
                 for word, n in tables[whole].items():
                     for i in range(1, min(len(word), LONGEST_PIECE + 1)):
@@ -173,7 +182,7 @@ def ending_evidence(text: str, endings: Endings) -> float:
     body = text.rstrip()
     if _RESIDUE.search(body):
         return 2 * BOUND
-    bare = _MARKER.sub("", body).rstrip()
+    bare = _unmarked(body).rstrip()
     marked = bare != body
     parts = _parts(bare)
     if not parts:
@@ -194,13 +203,14 @@ def _bare(text_col: str) -> Column:
 def lengths(docs: DataFrame, text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(source, unit, length, n): different texts of each length in every source, without what stands for a cut.
 
-    Copies of one text are no sign of a limit, so each counts once; the number
-    is a sketch's, merged before the shuffle (about 5 % off for large ones).
+    Copies of one text are no sign of a limit, so each counts once: hashes and
+    lengths are shuffled, no texts.
     """
-    bare = _bare(text_col)
-    units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.char_length(bare).alias("length")), F.struct(F.lit("bytes").alias("unit"), F.octet_length(bare).alias("length"))))
-    rows = docs.where(filled(text_col)).select(F.col(source_col).alias("source"), units.alias("u"), F.xxhash64(bare).alias("_text"))
-    return rows.groupBy("source", "u.unit", "u.length").agg(F.approx_count_distinct("_text").alias("n"))
+    bare = docs.where(filled(text_col)).select(F.col(source_col).alias("source"), _bare(text_col).alias("_bare"))
+    texts = bare.select("source", F.xxhash64("_bare").alias("_text"), F.char_length("_bare").alias("chars"), F.octet_length("_bare").alias("bytes")).distinct()
+    both = texts.groupBy("source", "chars", "bytes").agg(F.count("*").alias("n"))
+    units = F.explode(F.array(*(F.struct(F.lit(u).alias("unit"), F.col(u).alias("length")) for u in SLACK))).alias("u")
+    return both.select("source", "n", units).groupBy("source", "u.unit", "u.length").agg(F.sum("n").alias("n"))
 
 
 def _fit(x: np.ndarray, n: np.ndarray, cens: np.ndarray, limit: float) -> tuple[float, float, float]:
@@ -306,7 +316,7 @@ def field_limits(docs: DataFrame, text_col: str = "text", source_col: str = "sou
 
 def _at(text: str, limits: list[dict]) -> float | None:
     """The greatest posterior of the limits that a text lies at."""
-    bare = _MARKER.sub("", text)
+    bare = _unmarked(text)
     size = {"chars": len(bare), "bytes": len(bare.encode("utf-8", "surrogatepass"))}
     return max((x["posterior"] for x in limits if x["limit"] - SLACK[x["unit"]] <= size[x["unit"]] <= x["limit"] + (2 if x["unit"] == "bytes" else 0)), default=None)
 

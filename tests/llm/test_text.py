@@ -341,6 +341,13 @@ def test_several_limits(spark):
     assert sorted((r.source, r.unit, r["limit"]) for r in truncation.field_limits(df).collect()) == [("changed", "chars", 200), ("changed", "chars", 330)]
 
 
+def test_marks_at_the_end():
+    rng = random.Random(3)
+    for _ in range(2000):
+        t = "".join(rng.choices(["가", " ", "…", "...", "(계속)", "[…]", "더보기", "\n", ".", "»"], k=rng.randint(0, 60)))
+        assert truncation._unmarked(t) == truncation._MARKER.sub("", t)
+
+
 def test_counts_beyond_32_bits():
     import xxhash
 
