@@ -41,8 +41,8 @@ EPSILON = 1e-4
 CHANGES = "source_dataset_id string, file_seq int, change_kind string, field_name string, new_name string"
 
 
-def json_fields(records: DataFrame, keep: list[str], payload: str = "payload", with_value: bool = False) -> DataFrame:
-    """One row per top-level field of each readable record: ``keep``, field, kind, text (and the variant ``value``).
+def json_fields(records: DataFrame, keep: list[str], payload: str = "payload", with_shape: bool = False) -> DataFrame:
+    """One row per top-level field of each readable record: ``keep``, field, kind, text (and ``shape``, the type of a nested value, else '').
 
     kind is NULL for a JSON null. Unreadable payloads (broken, NULL, no object,
     or with a repeated name) give no rows.
@@ -59,7 +59,7 @@ def json_fields(records: DataFrame, keep: list[str], payload: str = "payload", w
         .when(shape.startswith("OBJECT"), "object")
         .otherwise("number")
     )
-    return fields.select(*keep, F.col("key").alias("field"), kind.alias("kind"), F.try_variant_get("value", "$", "string").alias("text"), *(["value"] if with_value else []))
+    return fields.select(*keep, F.col("key").alias("field"), kind.alias("kind"), F.try_variant_get("value", "$", "string").alias("text"), *([F.when(kind.isin("array", "object"), shape).otherwise("").alias("shape")] if with_shape else []))
 
 
 def _tokens(text: Column) -> Column:
@@ -73,7 +73,7 @@ def profiles(records: DataFrame) -> DataFrame:
 
     Records are profiled as (source_dataset_id, file_seq, payload); other
     columns are ignored. ``held`` is the type, or the last one known where all
-    values are null; ``shape`` is the type of all values together, nested ones included. ``seen`` holds minima of hashed values, ``placed`` those of
+    values are null; ``shape`` is the type of its nested values, the last in order if they differ. ``seen`` holds minima of hashed values, ``placed`` those of
     values together with the record they stand in; both merge by minimum, so
     Spark aggregates them before the shuffle and a file of any size costs
     2 x SKETCH numbers.
@@ -83,13 +83,16 @@ def profiles(records: DataFrame) -> DataFrame:
     values = F.map_values(F.from_json("payload", "map<string,string>"))
     long = F.filter(values, lambda v: (F.length(v) >= 6) & ~v.rlike(r"^[\[{]"))
     anchor = F.array_min(F.transform(long, lambda v: F.xxhash64(v))).alias("anchor")
-    fields = json_fields(records.select(*file, "payload", anchor), [*file, "anchor"], with_value=True)
+    fields = json_fields(records.select(*file, "payload", anchor), [*file, "anchor"], with_shape=True)
     rows = fields.withColumn("tokens", _tokens(F.col("text")))
     hashed = lambda i, *also: F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(i), *also)))
     counts = [F.count_if(F.col("kind") == k).alias(k) for k in KINDS]
     seen = [F.min(hashed(i)).alias(f"s{i}") for i in range(SKETCH)]
     placed = [F.min(F.when(F.col("anchor").isNotNull(), hashed(i, F.col("anchor")))).alias(f"p{i}") for i in range(SKETCH)]
-    per_field = rows.groupBy(*file, "field").agg(*counts, F.approx_count_distinct("text").alias("values"), F.schema_of_variant_agg("value").alias("shape"), *seen, *placed)
+    per_field = rows.groupBy(*file, "field", "shape").agg(*counts, F.approx_count_distinct("text").alias("values"), *seen, *placed)
+    # Numbers only so far, which Spark aggregates by hash; a field's few shapes are merged afterwards.
+    least = [F.min(f"{s}{i}").alias(f"{s}{i}") for s in "sp" for i in range(SKETCH)]
+    per_field = per_field.groupBy(*file, "field").agg(*(F.sum(c).alias(c) for c in (*KINDS, "values")), F.max("shape").alias("shape"), *least)
     best = F.greatest(*KINDS)
     kind = F.when(best > 0, F.coalesce(*(F.when(F.col(k) == best, F.lit(k)) for k in KINDS)))
     history = W.partitionBy("source_dataset_id", "field").orderBy("file_seq")
