@@ -85,7 +85,9 @@ def profiles(records: DataFrame) -> DataFrame:
     anchor = F.array_min(F.transform(long, lambda v: F.xxhash64(v))).alias("anchor")
     fields = json_fields(records.select(*file, "payload", anchor), [*file, "anchor"], with_shape=True)
     rows = fields.withColumn("tokens", _tokens(F.col("text")))
-    hashed = lambda i, *also: F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(i), *also)))
+    rows = rows.withColumns({"one": F.when(F.size("tokens") == 1, F.xxhash64(F.get("tokens", F.lit(0)))), "many": F.when(F.size("tokens") > 1, F.transform("tokens", lambda t: F.xxhash64(t)))})
+    # Most values are one token, which needs no loop over an array.
+    hashed = lambda i, *also: F.when(F.col("one").isNotNull(), F.xxhash64("one", F.lit(i), *also)).otherwise(F.array_min(F.transform("many", lambda t: F.xxhash64(t, F.lit(i), *also))))
     counts = [F.count_if(F.col("kind") == k).alias(k) for k in KINDS]
     seen = [F.min(hashed(i)).alias(f"s{i}") for i in range(SKETCH)]
     placed = [F.min(F.when(F.col("anchor").isNotNull(), hashed(i, F.col("anchor")))).alias(f"p{i}") for i in range(SKETCH)]
