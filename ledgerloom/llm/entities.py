@@ -74,7 +74,7 @@ def _placed(text: str) -> int:
 def records(companies: DataFrame) -> DataFrame:
     """One row per company row: ids, comparable attributes (NULL or '' where missing), hashed where only equality counts, and their vectors."""
     model = corpus_model(companies, ["company_name_raw", "road_address", "lot_address"])
-    rows = companies.select("row_id", F.xxhash64("company_key").alias("key"), F.xxhash64("source_dataset_id").alias("source"), F.coalesce("company_name_raw", "company_name").alias("name"), "phone", "biz_reg_no")
+    rows = companies.select("row_id", *(F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(n) for c, n in (("company_key", "key"), ("source_dataset_id", "source"))), F.coalesce("company_name_raw", "company_name").alias("name"), "phone", "biz_reg_no")
     new = [("core", "string"), ("line", "string"), ("phone", "string"), ("number", "string"), ("core_bits", "bigint"), ("phone_bits", "bigint"), ("number_bits", "bigint")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +238,8 @@ def same_companies(companies: DataFrame) -> DataFrame:
     Input: row_id, company_key, source_dataset_id, company_name_raw,
     company_name, road_address, lot_address, phone, biz_reg_no; other columns are
     ignored. Missing attributes (NULL, blank, fillers) say nothing; a record with
-    a name only, or without one, matches nothing. Repeated rows are compared once and come out
+    a name only, or without one, matches nothing, nor does one without key or
+    source. Repeated rows are compared once and come out
     each. An empty table gives an empty result.
     """
     rows, pairs = _compared(companies)

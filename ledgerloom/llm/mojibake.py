@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import spread
+from .spread import for_counting, spread
 
 #: Cells of the pair table: its size doesn't grow with the corpus (4 MB).
 CELLS = 1 << 20
@@ -120,7 +120,7 @@ def pair_counts(values: DataFrame) -> DataFrame:
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(table[at])], names=["cell", "n"])
 
-    return spread(values.select("value")).mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    return for_counting(spread(values.select("value"))).mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 class Model:

@@ -196,7 +196,7 @@ def field_values(companies: DataFrame, registries: DataFrame) -> DataFrame:
     Trust is the registry's priority, then the newest real registered_on that
     isn't after collected_on, then the lowest row_id, as text that sorts so.
     """
-    ranks = F.broadcast(registries.select(F.col("source_dataset_id").alias("_source"), F.col("priority").alias("_priority")))
+    ranks = registries.select(F.col("source_dataset_id").alias("_source"), F.col("priority").alias("_priority"))
     many = companies.groupBy("company_key").agg(F.count("*").alias("_n")).where("_n >= 2 and company_key is not null").select("company_key")
     date = real_date("registered_on")
     day = F.datediff(F.when(date <= real_date("collected_on"), date), F.lit("0001-01-01").cast("date"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import filled
 from ..session import settled
-from .spread import spread
+from .spread import for_counting, spread
 
 #: Cells of each count table; their number doesn't grow with the corpus (10 x 8 MB as they are counted, 10 x 4 MB as they are used).
 CELLS = 1 << 20
@@ -124,7 +124,7 @@ def ending_counts(texts: DataFrame) -> DataFrame:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["cell", "n"])
 
-    return texts.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    return for_counting(texts).mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 class Endings:
