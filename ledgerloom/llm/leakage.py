@@ -18,7 +18,6 @@ where the first one leaves less than its share missing.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 import uuid
 from collections import defaultdict
@@ -394,6 +393,19 @@ def _probes(s: str, lengths: list[int]) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
+@lru_cache(maxsize=4096)
+def _item(text: str) -> tuple[Item, list[tuple[int, str]]]:
+    w = words(text)
+    return Item(w), pieces(w)
+
+
+def _places(s: str, piece: str) -> Iterator[int]:
+    p = s.find(piece)
+    while p >= 0:
+        yield p
+        p = s.find(piece, p + 1)
+
+
 def _joined(texts: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
     """The same by a join: texts and items meet by the first letters of pieces, then each pair is verified.
 
@@ -441,9 +453,9 @@ def _joined(texts: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
         for batch in batches:
             keep = []
             for k, (body, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                w, t = words(text), Text(body)
-                hits = sorted((m.start(), n) for n, piece in pieces(w) for m in re.finditer(f"(?={piece})", t.s))
-                if hits and Item(w).covered(t, hits):
+                (item, own), t = _item(text), Text(body)
+                hits = sorted((p, n) for n, piece in own for p in _places(t.s, piece))
+                if hits and item.covered(t, hits):
                     keep.append(k)
             hit = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([hit.column(0), hit.column(2)], names=[id_col, "item_id"])
